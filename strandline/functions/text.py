@@ -134,3 +134,12 @@ def lookup(table: dict[str, str] | dict[str, int], key: Column) -> Column:
     """A small fixed table as a map literal; null for unknown and null keys."""
     m = F.create_map(*[F.lit(x) for kv in table.items() for x in kv])
     return F.try_element_at(m, key)
+
+
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once, however often the body uses it.
+
+    The optimizer copies the expression of an alias to each place that uses it
+    when it pushes a filter down; what is bound inside one expression stays bound.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandline import constants as C
-from strandline.functions.text import fold, lookup, squeeze
+from strandline.functions.text import fold, let, lookup, squeeze
 from strandline.functions.times import round_to
 
 
@@ -32,6 +32,93 @@ def _year(token: Column) -> Column:
     return F.when((F.length(raw) == 4) & n.between(1990, 2100), n).when(F.length(raw) == 2, 2000 + n)
 
 
+def _at(array: Column, i: Column) -> Column:
+    return F.try_element_at(array, i + 1)
+
+
+def _find_date(t: Column, k: Column) -> Column:
+    """Struct (i, iso) of the first place where day, month and a usable year follow each other; null if there is none."""
+    n = F.size(t)
+    places = F.when(n >= 3, F.sequence(F.lit(0), n - 3)).otherwise(F.array().cast("array<int>"))
+    read = F.transform(
+        places,
+        lambda i: F.struct(
+            i.alias("i"), _day(_at(t, i)).alias("d"), lookup(C.MONTHS, _at(k, i + 1)).alias("m"), _year(_at(t, i + 2)).alias("y")
+        ),
+    )
+    hit = F.filter(read, lambda x: x["d"].isNotNull() & x["m"].isNotNull() & x["y"].isNotNull())
+    pad = lambda c: F.lpad(c.cast("string"), 2, "0")
+    return F.try_element_at(
+        F.transform(hit, lambda x: F.struct(x["i"].alias("i"), F.concat_ws("-", x["y"].cast("string"), pad(x["m"]), pad(x["d"])).alias("iso"))),
+        F.lit(1),
+    )
+
+
+def _recognise(date: Column, free: Column) -> Column:
+    """Struct of all columns from the date and the tokens (i, t, k) outside it."""
+    first = lambda cond: F.try_element_at(F.filter(free, cond), F.lit(1))
+    # the dictionaries don't share a key, so each recogniser's first hit stands for itself
+    hits = F.struct(
+        first(lambda x: x["k"].isin(list(C.VENUES))).alias("v"),
+        first(lambda x: x["k"].isin(list(C.SESSIONS))).alias("s"),
+        first(lambda x: x["k"].isin(C.HONORIFICS)).alias("h"),
+        F.exists(free, lambda x: x["k"].isin(C.CALLS)).alias("call"),
+    )
+
+    def rest_of(h: Column) -> Column:
+        session = lookup(C.SESSIONS, h["s"]["k"])
+        taken = lambda x: (
+            x["i"].eqNullSafe(h["v"]["i"])
+            | x["i"].eqNullSafe(h["s"]["i"])
+            | x["i"].eqNullSafe(h["h"]["i"])
+            | x["k"].isin(C.CALLS)
+            | F.coalesce((session == "eid") & (x["i"] > h["s"]["i"]) & x["k"].isin(C.EID_QUALIFIERS), F.lit(False))
+        )
+        after = lambda x: F.coalesce(x["i"] > h["h"]["i"], F.lit(False))
+
+        def columns(left: Column) -> Column:
+            name = F.array_join(F.transform(F.filter(left, after), lambda x: x["t"]), " ")
+            rest = F.filter(left, lambda x: ~after(x) & ~x["k"].isin(C.NOISE))
+            part = lambda cond, w: F.when(cond, F.lit(w)).otherwise(0.0)
+            confidence = (
+                part(date.isNotNull(), 0.3)
+                + part(h["v"].isNotNull(), 0.25)
+                + part(h["s"].isNotNull() | h["call"], 0.3)
+                + part(name != "", 0.15)
+            )
+            return F.struct(
+                date["iso"].alias("rec_date"),
+                lookup(C.VENUES, h["v"]["k"]).alias("venue"),
+                session.alias("session"),
+                h["call"].alias("is_adhaan"),
+                F.when(name != "", name).alias("person"),
+                F.when(name != "", fold(name)).alias("person_key"),
+                round_to(confidence, 2).alias("confidence"),
+                F.transform(rest, lambda x: x["t"]).alias("leftovers"),
+            )
+
+        return let(F.filter(free, lambda x: ~taken(x)), columns)
+
+    return let(hits, rest_of)
+
+
+def parse_title(title: Column) -> Column:
+    """A title as one struct; each intermediate is computed once, so filters on its fields stay cheap."""
+
+    def with_keys(t: Column) -> Column:
+        return let(F.transform(t, fold), lambda k: let(_find_date(t, k), lambda d: with_date(t, k, d)))
+
+    def with_date(t: Column, k: Column, d: Column) -> Column:
+        each = F.transform(t, lambda x, i: F.struct(i.alias("i"), x.alias("t"), _at(k, i).alias("k")))
+        outside = lambda x: d.isNull() | ~x["i"].between(d["i"], d["i"] + 2)
+        return let(F.filter(each, lambda x: (x["k"] != "") & outside(x)), lambda free: _recognise(d, free))
+
+    return let(tokens(title), with_keys)
+
+
+TITLE_COLUMNS = ["rec_date", "venue", "session", "is_adhaan", "person", "person_key", "confidence", "leftovers"]
+
+
 def parse_titles(df: DataFrame, title: str = "title") -> DataFrame:
     """Add the columns of a parsed title.
 
@@ -39,67 +126,8 @@ def parse_titles(df: DataFrame, title: str = "title") -> DataFrame:
     leftovers.  Nothing found gives nulls, confidence 0 and, for a blank or null
     title, no leftovers.  Columns of these names are replaced.
     """
-    d = df.withColumn("__t", tokens(F.col(title)))
-    d = d.withColumn("__k", F.transform("__t", fold))
-    n = F.size("__t")
-    at = lambda arr, i: F.try_element_at(F.col(arr), i + 1)
-    # the first place where day, month and a usable year follow each other
-    months = C.MONTHS
-    hit = F.filter(
-        F.when(n >= 3, F.sequence(F.lit(0), n - 3)).otherwise(F.array().cast("array<int>")),
-        lambda i: _day(at("__t", i)).isNotNull() & lookup(months, at("__k", i + 1)).isNotNull() & _year(at("__t", i + 2)).isNotNull(),
-    )
-    d = d.withColumn("__d", F.try_element_at(hit, F.lit(1)))
-    i = F.col("__d")
-    iso = F.concat_ws(
-        "-",
-        _year(at("__t", i + 2)).cast("string"),
-        F.lpad(lookup(months, at("__k", i + 1)).cast("string"), 2, "0"),
-        F.lpad(_day(at("__t", i)).cast("string"), 2, "0"),
-    )
-    d = d.withColumn("__iso", F.when(i.isNotNull(), iso))
-    # each token outside the date: its place, text, key
-    free = F.filter(
-        F.transform("__t", lambda t, j: F.struct(j.alias("i"), t.alias("t"), at("__k", j).alias("k"))),
-        lambda x: (x["k"] != "") & (i.isNull() | ~x["i"].between(i, i + 2)),
-    )
-    d = d.withColumn("__f", free)
-    first = lambda cond: F.try_element_at(F.filter("__f", cond), F.lit(1))
-    # the dictionaries don't share a key, so each recogniser's first hit stands for itself
-    d = d.withColumn("__v", first(lambda x: x["k"].isin(list(C.VENUES))))
-    d = d.withColumn("__s", first(lambda x: x["k"].isin(list(C.SESSIONS))))
-    d = d.withColumn("__h", first(lambda x: x["k"].isin(C.HONORIFICS)))
-    d = d.withColumn("__a", F.exists("__f", lambda x: x["k"].isin(C.CALLS)))
-    d = d.withColumn("session", lookup(C.SESSIONS, F.col("__s.k")))
-    taken = lambda x: (
-        x["i"].eqNullSafe(F.col("__v.i"))
-        | x["i"].eqNullSafe(F.col("__s.i"))
-        | x["i"].eqNullSafe(F.col("__h.i"))
-        | x["k"].isin(C.CALLS)
-        | ((F.col("session") == "eid") & (x["i"] > F.col("__s.i")) & x["k"].isin(C.EID_QUALIFIERS))
-    )
-    d = d.withColumn("__f", F.filter("__f", lambda x: ~F.coalesce(taken(x), F.lit(False))))
-    after = lambda x: F.coalesce(x["i"] > F.col("__h.i"), F.lit(False))
-    person = F.array_join(F.transform(F.filter("__f", after), lambda x: x["t"]), " ")
-    d = d.withColumn("person", F.when(person != "", person))
-    rest = F.filter("__f", lambda x: ~after(x) & ~x["k"].isin(C.NOISE))
-    part = lambda cond, w: F.when(cond, F.lit(w)).otherwise(0.0)
-    confidence = (
-        part(i.isNotNull(), 0.3)
-        + part(F.col("__v").isNotNull(), 0.25)
-        + part(F.col("__s").isNotNull() | F.col("__a"), 0.3)
-        + part(F.col("person").isNotNull(), 0.15)
-    )
-    return d.withColumns(
-        {
-            "rec_date": F.col("__iso"),
-            "venue": lookup(C.VENUES, F.col("__v.k")),
-            "is_adhaan": F.col("__a"),
-            "person_key": fold(F.col("person")),
-            "confidence": round_to(confidence, 2),
-            "leftovers": F.transform(rest, lambda x: x["t"]),
-        }
-    ).drop("__t", "__k", "__d", "__iso", "__f", "__v", "__s", "__h", "__a")
+    d = df.withColumn("__p", parse_title(F.col(title)))
+    return d.withColumns({c: F.col(f"__p.{c}") for c in TITLE_COLUMNS}).drop("__p")
 
 
 def reconcile_date(rec_date: Column, published_at: Column, slack_days: int = C.UPLOAD_SLACK_DAYS) -> Column:
