@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from strandline.plans.registry import Registry
 from strandline.tables import load
 
-from strandline.llm import canon, glyphs  # isort: skip
+from strandline.llm import canon, glyphs, names  # isort: skip
 
 R = Registry()
 
@@ -28,3 +28,14 @@ def p2_found(spark, d):
 @R.add("p3_found")
 def p3_found(spark, d):
     return canon.map_values(load(spark, d, "catalog_entries"), load(spark, d, "canon_terms"))
+
+
+@R.add("p1_found")
+def p1_found(spark, d):
+    return names.linked_pairs(p1_persons(spark, d))
+
+
+@R.add("p1_persons")
+def p1_persons(spark, d):
+    """Each spelling with the smallest spelling of its person."""
+    return names.resolve(load(spark, d, "catalog_entries"), "sheikh_key", "sheikh")
