@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from strandline.plans.registry import Registry
 from strandline.tables import load
 
-from strandline.llm import canon, glyphs, names  # isort: skip
+from strandline.llm import canon, glyphs, names, pieces, runs  # isort: skip
 
 R = Registry()
 
@@ -39,3 +39,30 @@ def p1_found(spark, d):
 def p1_persons(spark, d):
     """Each spelling with the smallest spelling of its person."""
     return names.resolve(load(spark, d, "catalog_entries"), "sheikh_key", "sheikh")
+
+
+@R.add(
+    "p4_found",
+    """WITH t AS (SELECT * FROM timeline_segments QUALIFY row_number() OVER (PARTITION BY take_id, out_no ORDER BY loaded_at DESC NULLS LAST, t0, t1, surah, ayah, conf) = 1),
+l AS (SELECT *, lag(surah) OVER w AS ps, lag(ayah) OVER w AS pa, lag(t1) OVER w AS pt FROM t WINDOW w AS (PARTITION BY take_id ORDER BY t0 NULLS LAST, out_no)),
+r AS (SELECT *, sum(CASE WHEN ps = surah AND pa = ayah AND t0 - pt < 1.0 THEN 0 ELSE 1 END) OVER (PARTITION BY take_id ORDER BY t0 NULLS LAST, out_no) AS run FROM l)
+SELECT take_id, first(out_no ORDER BY t0 NULLS LAST, out_no) AS first_no, last(out_no ORDER BY t0 NULLS LAST, out_no) AS last_no FROM r GROUP BY take_id, run HAVING count(*) > 1""",
+)
+def p4_found(spark, d):
+    return runs.timeline_runs(load(spark, d, "timeline_segments")).select("take_id", "first_no", "last_no")
+
+
+@R.add(
+    "p7_found",
+    """WITH RECURSIVE v AS (SELECT video_id, ceil(duration_seconds)::INT AS dur FROM (SELECT * FROM catalog_entries WHERE video_id IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY video_id ORDER BY ingested_at DESC NULLS LAST, row_id DESC) = 1) WHERE duration_seconds > 600),
+p AS (SELECT video_id, list(DISTINCT at_s) AS pts FROM pause_points WHERE at_s IS NOT NULL GROUP BY video_id),
+c AS (
+  SELECT video_id, dur, coalesce(pts, []) AS pts, 1 AS piece_no, 0 AS start_s, coalesce(list_max(list_filter(coalesce(pts, []), lambda x: x > 20 AND x <= 600)), 600)::INT AS end_s FROM v LEFT JOIN p USING (video_id)
+  UNION ALL
+  SELECT video_id, dur, pts, piece_no + 1, s, CASE WHEN dur - s > 600 THEN coalesce(list_max(list_filter(pts, lambda x: x > s + 20 AND x <= s + 600)), s + 600) ELSE dur END::INT
+  FROM (SELECT *, end_s - 20 AS s FROM c WHERE dur - start_s > 600))
+SELECT video_id, piece_no, start_s, end_s FROM c""",
+)
+def p7_found(spark, d):
+    return pieces.catalog_pieces(load(spark, d, "catalog_entries"), load(spark, d, "pause_points"))
