@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from strandline.plans.registry import Registry
 from strandline.tables import load
 
-from strandline.llm import canon, glyphs, names, pieces, runs  # isort: skip
+from strandline.llm import canon, glyphs, mixing, names, packing, pieces, runs, subjects  # isort: skip
 
 R = Registry()
 
@@ -66,3 +66,41 @@ SELECT video_id, piece_no, start_s, end_s FROM c""",
 )
 def p7_found(spark, d):
     return pieces.catalog_pieces(load(spark, d, "catalog_entries"), load(spark, d, "pause_points"))
+
+
+@R.add("p8_containers")
+def p8_containers(spark, d):
+    """All documents in containers of the middle size."""
+    return packing.fill_containers(load(spark, d, "documents"), load(spark, d, "container_sizes"))
+
+
+@R.add("p8_fill")
+def p8_fill(spark, d):
+    return packing.fill_report(p8_containers(spark, d))
+
+
+@R.add("p9_selection")
+def p9_selection(spark, d):
+    """The mix: each use of a document, shuffled."""
+    return mixing.mix(load(spark, d, "documents"), load(spark, d, "mix_targets"))[0]
+
+
+@R.add("p9_shares")
+def p9_shares(spark, d):
+    return mixing.mix(load(spark, d, "documents"), load(spark, d, "mix_targets"))[1]
+
+
+def _subjects(spark, d):
+    docs = load(spark, d, "documents")
+    return docs, subjects.assign(docs, subjects.train(docs, load(spark, d, "subject_labels"), load(spark, d, "subjects")))
+
+
+@R.add("p10_found")
+def p10_found(spark, d):
+    return _subjects(spark, d)[1].select("doc_id", "subject").distinct()
+
+
+@R.add("p10_composition")
+def p10_composition(spark, d):
+    docs, found = _subjects(spark, d)
+    return subjects.composition(found, docs)
