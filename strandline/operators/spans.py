@@ -75,8 +75,8 @@ def dedupe_overlap(segments: DataFrame, key: str, order: str, text: str) -> Data
     t = with_prefix(t, [key], "t0", [order], F.col("t1"), "max", False, "__end")
     t = with_run_number(t, [key], "t0", [order], F.col("__end").isNull() | (F.col("t0") >= F.col("__end")), name="__part")
     row = F.struct("t0", F.col(order).alias("o"), "t1", F.col("__x").alias("x"), strip(F.coalesce("__x", F.lit(""))).alias("s"))
-    rows = t.groupBy(key, "__part").agg(F.array_sort(F.collect_list(row)).alias("r"))
-    shape = rows.schema["r"].dataType.elementType.simpleString()
+    rows = t.groupBy(key, "__part").agg(F.array_sort(F.collect_list(row)).alias("__r"))
+    shape = rows.schema["__r"].dataType.elementType.simpleString()
     start = F.array().cast(f"array<{shape}>")
 
     def step(kept: Column, x: Column) -> Column:
@@ -88,8 +88,8 @@ def dedupe_overlap(segments: DataFrame, key: str, order: str, text: str) -> Data
         moved = F.struct(t0.alias("t0"), x["o"].alias("o"), x["t1"].alias("t1"), x["x"].alias("x"), x["s"].alias("s"))
         return F.when(drop, kept).otherwise(F.concat(kept, F.array(moved)))
 
-    kept = rows.select(key, F.explode(F.aggregate("r", start, step)).alias("k"))
-    return kept.select(key, F.col("k.o").alias(order), "k.t0", "k.t1", F.col("k.x").alias(text))
+    kept = rows.select(key, F.explode(F.aggregate("__r", start, step)).alias("__k"))
+    return kept.select(key, F.col("__k.o").alias(order), "__k.t0", "__k.t1", F.col("__k.x").alias(text))
 
 
 def merge_adjacent(timeline: DataFrame, key: str = "take_id", order: str = "out_no") -> DataFrame:

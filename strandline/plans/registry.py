@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from strandline.session import ship
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -16,7 +19,12 @@ class Registry:
 
     def add(self, name: str, sql: str | None = None) -> Callable[[Query], Query]:
         def keep(f: Query) -> Query:
-            self.queries[name] = f
+            @functools.wraps(f)
+            def run(spark: SparkSession, folder: str) -> DataFrame:
+                ship(spark)
+                return f(spark, folder)
+
+            self.queries[name] = run
             if sql is not None:
                 self.sql[name] = sql
             return f

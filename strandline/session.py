@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,3 +56,23 @@ def cut(df: DataFrame) -> DataFrame:
 def small_enough(df: DataFrame, most: int) -> bool:
     """True if ``df`` has at most ``most`` rows; reads no more than ``most`` + 1 of them."""
     return len(df.limit(most + 1).select(df.columns[0]).collect()) <= most
+
+
+def ship(spark: SparkSession) -> None:
+    """Send the package to the executors once per application, for clusters whose workers don't have it on their path."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    _SHIPPED.add(sc.applicationId)
+    root = os.path.dirname(os.path.abspath(__file__))
+    at = os.path.join(tempfile.mkdtemp(), "strandline.zip")  # the driver's own copy; executors fetch it from the driver
+    with zipfile.ZipFile(at, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(root):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.join("strandline", os.path.relpath(full, root)))
+    sc.addPyFile(at)
+
+
+_SHIPPED: set[str] = set()
