@@ -314,7 +314,8 @@ def assign(documents: DataFrame, model: Model) -> DataFrame:
         for b in _chunks(batches):
             q = m.predict(b["text"].tolist(), reader)
             d, s = (q >= m.options.threshold).nonzero()
-            yield pd.DataFrame({"doc_id": b["doc_id"].to_numpy()[d], "subject": [m.subjects[i] for i in s], "posterior": q[d, s]})
+            if len(d):
+                yield pd.DataFrame({"doc_id": b["doc_id"].to_numpy()[d], "subject": [m.subjects[i] for i in s], "posterior": q[d, s]})
 
     return documents.select("doc_id", "text").filter("doc_id is not null").mapInPandas(run, "doc_id long, subject string, posterior double")
 
