@@ -1,13 +1,15 @@
 """Overlapping, nested and gapped intervals -> continuous periods and the gaps between them.
 
 Integer intervals are decomposed into canonical dyadic blocks: block (k, i) is
-[i * 2^k, (i + 1) * 2^k).  Equal blocks are the same row, so a key with very many
-overlapping intervals shrinks to its distinct blocks before the shuffle.  The
-axis is cut into cells of 2^``CELL`` (decomposition stops there), which bounds the
-blocks of one cell (fewer than 2^(CELL + 1)) whatever the number of intervals, and
-spreads a hot key over its cells.  In each cell, blocks under a present ancestor
-go, sibling pairs merge upward, and adjacent blocks coalesce; only the first and
-last period of a cell take part in the stitching across cells.
+[i * 2^k, (i + 1) * 2^k).  Blocks under a present ancestor go, sibling pairs merge
+upward, and adjacent blocks coalesce into periods.
+
+The axis is cut into cells of 2^``CELL`` (decomposition stops there), which bounds
+the blocks of one cell (fewer than 2^(CELL + 1)) whatever the number of intervals,
+and spreads a hot key over its cells.  The same reduction runs twice: on each
+batch where it was read, so that a key with very many intervals leaves only its
+few periods to be shuffled, and on each cell after the shuffle.  Last, the
+periods of neighbouring cells are stitched.
 """
 
 from __future__ import annotations
@@ -17,40 +19,39 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 #: A cell is 2^20 units: for milliseconds, 17.5 minutes.
 CELL = 20
+#: Rows reduced at once.
+ROWS = 50_000
 
 
-def dyadic_blocks(start: Column, end: Column, cell: int = CELL) -> Column:
-    """Array of (level, idx), the canonical blocks of [start, end), none above level ``cell``; empty if start >= end.
+def blocks_of(start: np.ndarray, end: np.ndarray, cell: int = CELL) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Canonical blocks of intervals that lie within one cell each: (number of the interval, level, idx).
 
     The left border at level k is ceil(start / 2^k), the right one floor(end / 2^k);
     where a border is odd, its block can't be part of a larger one.
     """
-
-    def at(k: Column) -> Column:
-        size = F.call_function("shiftleft", F.lit(1).cast("long"), k)
-        lo = F.call_function("shiftright", start + size - 1, k)
-        hi = F.call_function("shiftright", end, k)
-        block = lambda i: F.struct(k.cast("int").alias("level"), i.alias("idx"))
-        none = F.array().cast("array<struct<level:int,idx:bigint>>")
-        left = F.when((lo < hi) & (lo.bitwiseAND(F.lit(1).cast("long")) == 1), F.array(block(lo))).otherwise(none)
-        right = F.when((lo < hi) & (hi.bitwiseAND(F.lit(1).cast("long")) == 1), F.array(block(hi - 1))).otherwise(none)
-        return F.concat(left, right)
-
-    # at the top level, all whole cells in between
-    top = F.lit(cell)
-    size = F.lit(1 << cell).cast("long")
-    lo, hi = F.shiftright(start + size - 1, cell), F.shiftright(end, cell)
-    cells = F.transform(
-        F.when(lo < hi, F.sequence(lo, hi - 1)).otherwise(F.array().cast("array<bigint>")),
-        lambda i: F.struct(top.cast("int").alias("level"), i.alias("idx")),
-    )
-    return F.concat(F.flatten(F.transform(F.sequence(F.lit(0), F.lit(cell - 1)), at)), cells)
+    who, levels, places = [], [], []
+    n = np.arange(len(start))
+    lo, hi = start.astype(np.int64), end.astype(np.int64)
+    for k in range(cell + 1):
+        open_ = lo < hi
+        if not open_.any():
+            break
+        n, lo, hi = n[open_], lo[open_], hi[open_]
+        left = (lo & 1).astype(bool) if k < cell else np.ones(len(lo), bool)
+        right = (hi & 1).astype(bool) & (k < cell)
+        who += [n[left], n[right]]
+        places += [lo[left], hi[right] - 1]
+        levels.append(np.full(left.sum() + right.sum(), k))
+        lo, hi = (lo + 1) >> 1, hi >> 1
+    if not who:
+        return n[:0], lo[:0], lo[:0]
+    return np.concatenate(who), np.concatenate(levels), np.concatenate(places)
 
 
 def merge_cells(key: np.ndarray, cell: np.ndarray, level: np.ndarray, idx: np.ndarray, top: int = CELL):
@@ -102,45 +103,70 @@ def merge_cells(key: np.ndarray, cell: np.ndarray, level: np.ndarray, idx: np.nd
     return g[first], s[first], e[last]
 
 
-def periods_in_cells(blocks: DataFrame, key: str, cell: int = CELL) -> DataFrame:
-    """Distinct blocks (key, level, idx) -> periods of each cell: key, cell, s, e."""
-    d = blocks.select(key, "level", "idx", F.call_function("shiftright", F.col("idx"), F.lit(cell) - F.col("level")).alias("cell"))
-    d = d.repartition(key, "cell").sortWithinPartitions(key, "cell")
-    kind = dict(blocks.dtypes)[key]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-
-        def work(t: pa.Table) -> pa.RecordBatch:
-            k, c = t[key].to_pandas(), t["cell"].to_numpy()
-            change = np.ones(len(c), bool)
-            change[1:] = (k.to_numpy()[1:] != k.to_numpy()[:-1]) | (c[1:] != c[:-1])
-            g = change.cumsum() - 1
-            at, s, e = merge_cells(g, c, t["level"].to_numpy().astype(np.int64), t["idx"].to_numpy(), cell)
-            firsts = change.nonzero()[0][at]
-            return pa.RecordBatch.from_arrays(
-                [t[key].combine_chunks().take(pa.array(firsts)), pa.array(c[firsts]), pa.array(s), pa.array(e)],
-                names=[key, "cell", "s", "e"],
-            )
-
-        for b in batches:
-            if not b.num_rows:
-                continue
-            held.append(b)
-            t = pa.Table.from_batches(held)
-            if t.num_rows < 50_000:
+def reduce_batch(key: np.ndarray, start: np.ndarray, end: np.ndarray, cell: int = CELL):
+    """Intervals of any keys -> (row a key is at, cell, start, end): their periods, cut at the borders of cells."""
+    # an interval over several cells becomes a piece in each
+    first, last = start >> cell, (end - 1) >> cell
+    pieces = last - first + 1
+    row = np.repeat(np.arange(len(start)), pieces)
+    c = first[row] + (np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces))
+    s, e = np.maximum(start[row], c << cell), np.minimum(end[row], (c + 1) << cell)
+    # equal pieces are one
+    code = pd.factorize(key)[0][row]
+    order = np.lexsort((e, s, c, code))
+    code, c, s, e, row = code[order], c[order], s[order], e[order], row[order]
+    if len(code):
+        same = np.zeros(len(code), bool)
+        same[1:] = (code[1:] == code[:-1]) & (c[1:] == c[:-1]) & (s[1:] == s[:-1]) & (e[1:] == e[:-1])
+        code, c, s, e, row = code[~same], c[~same], s[~same], e[~same], row[~same]
+    change = np.ones(len(code), bool)
+    change[1:] = (code[1:] != code[:-1]) | (c[1:] != c[:-1])
+    group = change.cumsum() - 1
+    who, level, idx = blocks_of(s, e, cell)
+    g, ps, pe = merge_cells(group[who], c[who], level, idx, cell)
+    at = change.nonzero()[0][g]
+    return row[at], c[at], ps, pe
+
+
+def periods_in_cells(intervals: DataFrame, key: str, start: str, end: str, cell: int = CELL) -> DataFrame:
+    """Intervals [start, end) -> periods of each cell: key, cell, s, e."""
+    kind = dict(intervals.dtypes)[key]
+    schema = f"{key} {kind}, cell long, s long, e long"
+
+    def work(t: pa.Table, k: str, a: str, b: str) -> pa.RecordBatch:
+        row, c, s, e = reduce_batch(t[k].to_pandas().to_numpy(), t[a].to_numpy(), t[b].to_numpy(), cell)
+        keys = t[k].combine_chunks().take(pa.array(row))
+        return pa.RecordBatch.from_arrays([keys, pa.array(c), pa.array(s), pa.array(e)], names=[key, "cell", "s", "e"])
+
+    def before(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for x in batches:
+            held.append(x)
+            n += x.num_rows
+            if n >= ROWS:
+                yield work(pa.Table.from_batches(held), key, start, end)
+                held, n = [], 0
+        if n:
+            yield work(pa.Table.from_batches(held), key, start, end)
+
+    def after(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # rows come by key and cell; what the last cell of a chunk was reduced to goes on with the next chunk
+        held: pa.Table | None = None
+        for x in batches:
+            t = pa.Table.from_batches([x])
+            held = t if held is None else pa.concat_tables([held, t])
+            if held.num_rows < ROWS:
                 continue
-            # the last cell may go on in the next batch
-            k, c = t[key].to_pandas().to_numpy(), t["cell"].to_numpy()
-            same = (k == k[-1]) & (c == c[-1])
-            cut = len(c) if not same.any() else int(same.nonzero()[0][0])
-            if cut:
-                yield work(t.slice(0, cut))
-            held = t.slice(cut).to_batches()
-        if held:
-            yield work(pa.Table.from_batches(held))
+            done = pa.Table.from_batches([work(held, key, "s", "e")])
+            k, c = done[key].to_pandas().to_numpy(), done["cell"].to_numpy()
+            last = (k == held[key][-1].as_py()) & (c == held["cell"][-1].as_py())
+            yield from done.filter(pa.array(~last)).to_batches()
+            held = done.filter(pa.array(last))
+        if held is not None and held.num_rows:
+            yield work(held, key, "s", "e")
 
-    return d.mapInArrow(run, f"{key} {kind}, cell long, s long, e long")
+    local = intervals.select(key, start, end).mapInArrow(before, schema)
+    return local.repartition(key, "cell").sortWithinPartitions(key, "cell").mapInArrow(after, schema)
 
 
 def periods_and_gaps(intervals: DataFrame, key: str, start: str, end: str, cell: int = CELL) -> DataFrame:
@@ -151,9 +177,7 @@ def periods_and_gaps(intervals: DataFrame, key: str, start: str, end: str, cell:
     stretches between two neighbouring periods of an entity.
     """
     ok = intervals.filter(F.col(key).isNotNull() & (F.col(start) < F.col(end)))
-    b = ok.select(key, F.explode(dyadic_blocks(F.col(start).cast("long"), F.col(end).cast("long"), cell)).alias("b"))
-    b = b.select(key, "b.level", "b.idx").distinct()
-    p = periods_in_cells(b, key, cell)
+    p = periods_in_cells(ok.select(key, F.col(start).cast("long").alias(start), F.col(end).cast("long").alias(end)), key, start, end, cell)
     # What is left of an entity depends on its time axis, no longer on its rows.
     w = W.partitionBy(key).orderBy("s")
     p = p.withColumn("new", F.coalesce(F.lag("e").over(w) < F.col("s"), F.lit(True)).cast("int"))

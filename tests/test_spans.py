@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -130,10 +131,21 @@ def test_dyadic(spark, cell):
     assert not [x for x in got if x.k in (None, 99)]
 
 
-def test_blocks_are_canonical(spark):
-    df = spark.createDataFrame([(3, 21), (0, 16), (5, 5), (7, 8)], "s long, e long").coalesce(1)
-    got = [[(x.level, x.idx) for x in r[0]] for r in df.select(dyadic.dyadic_blocks(F.col("s"), F.col("e"), 3)).collect()]
-    assert [sorted((i << k, (i + 1) << k) for k, i in g) for g in got] == [[(3, 4), (4, 8), (8, 16), (16, 20), (20, 21)], [(0, 8), (8, 16)], [], [(7, 8)]]
+def test_blocks_are_canonical():
+    spans_ = [(3, 8), (0, 8), (5, 5), (7, 8), (8, 15), (17, 23)]
+    who, level, idx = dyadic.blocks_of(np.array([a for a, _ in spans_]), np.array([b for _, b in spans_]), 3)
+    got = [sorted((int(i) << int(k), (int(i) + 1) << int(k)) for w, k, i in zip(who, level, idx) if w == n) for n in range(len(spans_))]
+    assert got == [[(3, 4), (4, 8)], [(0, 8)], [], [(7, 8)], [(8, 12), (12, 14), (14, 15)], [(17, 18), (18, 20), (20, 22), (22, 23)]]
+
+
+def test_hot_cell_and_small_chunks(spark, monkeypatch):
+    monkeypatch.setattr(dyadic, "ROWS", 50)
+    r = random.Random(9)
+    rows = [("k", s := r.randrange(0, 4000), s + r.choice([1, 3])) for _ in range(3000)] + [(str(i), i, i + 2) for i in range(300)]
+    df = spark.createDataFrame(rows, "k string, s long, e long").repartition(5)
+    got = dyadic.periods_and_gaps(df, "k", "s", "e", 10).collect()
+    for k in ("k", "7"):
+        assert sorted([x.s, x.e] for x in got if x.k == k and x.kind == "period") == periods([(s, e) for q, s, e in rows if q == k])
 
 
 def test_audible(spark):
