@@ -56,6 +56,7 @@ class Options:
 _MOJIBAKE = re.compile("[Â-ß][\u0080-¿]")
 _TAG = re.compile(r"<[^>]{0,200}>")
 _END = re.compile(r"(?<=[.!?;؟])[)\]\"»]*\s+|[\r\n]+|\s*<[^>]{0,200}>\s*")
+_DIGITS = dict.fromkeys(range(48, 58))
 _WORD = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*")
 
 
@@ -67,33 +68,33 @@ def sentences(text: str | None) -> list[str]:
     return [s for s in (x.strip().lower() for x in _END.split(t)) if s]
 
 
-def features(sentence: str, bits: int) -> np.ndarray:
-    """Hashed words and pairs of words."""
-    w = _WORD.findall(sentence)
-    grams = [*w, *(f"{a} {b}" for a, b in zip(w, w[1:]))]
-    mask = (1 << bits) - 1
-    return np.array([zlib.crc32(g.encode()) & mask for g in grams], np.int64)
-
-
 class Reader:
-    """Documents -> arrays of features; sentences seen before are looked up."""
+    """Documents -> arrays of features, hashed words and pairs of words; words and sentences seen before are looked up."""
 
     def __init__(self, bits: int):
-        self.of = lru_cache(100_000)(lambda s: features(s, bits))
+        self.mask = (1 << bits) - 1
+        self.word = lru_cache(200_000)(lambda w: zlib.crc32(w.encode()))
+        self.of = lru_cache(50_000)(self.features)
+
+    def features(self, sentence: str) -> np.ndarray:
+        w = np.array([self.word(x) for x in _WORD.findall(sentence)], np.int64)
+        # the pair's hash is made from those of its words; it depends on their order
+        pairs = (w[:-1] * 0x9E3779B1 + w[1:] * 0x85EBCA6B) >> 13
+        return np.concatenate([w, pairs]) & self.mask
 
     def batch(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(features, sentence number of each feature, document number of each sentence) of distinct sentences with words."""
-        ids, sent, doc = [], [], []
-        n = 0
+        ids, doc = [], []
         for d, text in enumerate(texts):
             for s in dict.fromkeys(sentences(text)):
-                f = self.of(s)
+                f = self.of(s.translate(_DIGITS))  # numbers are no features
                 if len(f):
-                    ids.append(f), sent.append(np.full(len(f), n)), doc.append(d)
-                    n += 1
-        if not n:
+                    ids.append(f)
+                    doc.append(d)
+        if not ids:
             return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
-        return np.concatenate(ids), np.concatenate(sent), np.array(doc, np.int64)
+        sent = np.repeat(np.arange(len(ids)), [len(f) for f in ids])
+        return np.concatenate(ids), sent, np.array(doc, np.int64)
 
 
 def complement_weights(counts: np.ndarray, alpha: float) -> np.ndarray:
@@ -116,7 +117,7 @@ def posteriors(scores: np.ndarray, allowed: np.ndarray | None = None) -> np.ndar
     return e / e.sum(1, keepdims=True)
 
 
-def expect(w: np.ndarray | None, read, labels: list, k: int, o: Options) -> tuple[np.ndarray, np.ndarray]:
+def expect(w: np.ndarray | None, read: tuple, labels: list, k: int, o: Options) -> tuple[np.ndarray, np.ndarray]:
     """E-step of a batch: class weights of each sentence, and its weight in the model.
 
     ``labels`` has per document None (unlabelled) or a boolean array of its
@@ -127,9 +128,8 @@ def expect(w: np.ndarray | None, read, labels: list, k: int, o: Options) -> tupl
     n = len(doc)
     labelled = np.array([lab is not None for lab in labels], bool)[doc] if n else np.zeros(0, bool)
     own = np.zeros((n, k + 2), bool)
-    for d, lab in enumerate(labels):
-        if lab is not None:
-            own[doc == d, :k] = lab
+    rows = np.array([np.zeros(k, bool) if lab is None else lab for lab in labels]).reshape(len(labels), k)
+    own[:, :k] = rows[doc]
     if w is None:
         p = np.zeros((n, k + 2))
         size = own[:, :k].sum(1)
@@ -260,8 +260,13 @@ def train(documents: DataFrame, labels: DataFrame, subjects: DataFrame, options:
                     continue
                 p, weight = expect(shared.value, read, [flags(g) for g in b["given"]], k, o)
                 p = p * weight[:, None]
-                for c in range(k + 2):
-                    total[:, c] += np.bincount(ids, weights=p[sent, c], minlength=size)
+                # only classes that matter: a sentence rarely has more than one
+                at_s, at_c = (p > 1e-4).nonzero()
+                starts = np.searchsorted(sent, np.arange(len(doc) + 1))
+                length = (starts[1:] - starts[:-1])[at_s]
+                cells = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length) + np.repeat(starts[at_s], length)
+                flat = ids[cells] * (k + 2) + np.repeat(at_c, length)
+                np.add.at(total.reshape(-1), flat, np.repeat(p[at_s, at_c], length))
             used = total.any(1).nonzero()[0]
             f = pd.DataFrame(total[used], columns=[f"c{i}" for i in range(k + 2)])
             f.insert(0, "feature", used)
