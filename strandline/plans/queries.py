@@ -204,14 +204,24 @@ def verse_similarity(spark, d):
     return c.join(after, "pos").select("surah", "ayah", F.round(sequence_similarity(F.col("words"), F.col("next_words")), 6).alias("similarity"))
 
 
-@R.add("best_prefix")
+@R.add(
+    "best_prefix",
+    f"""WITH {SEG}, {TL}, {CORPUS}, p AS (SELECT DISTINCT tl.surah, tl.ayah, {WORDS % (SKEL % "arabic")} AS query, words AS verse FROM seg JOIN tl USING (take_id, t0)
+  JOIN corpus c ON c.surah = tl.surah AND c.ayah = tl.ayah),
+tried AS (SELECT *, list_distinct(verse) AS vocabulary, len(query) AS q, len(verse) AS l, greatest(1, len(verse) // 2) AS low, least(len(query), ceil(len(verse) * 1.5)::INT + 1) AS high,
+  array_to_string(query, ' ') AS text FROM p WHERE len(query) > 0),
+lengths AS (SELECT *, unnest(range(low, high + 1)) AS k FROM tried),
+sims AS (SELECT surah, ayah, text, k, 1 - levenshtein({SPELL % "query[1:k]"}, {SPELL % "verse"})::DOUBLE / greatest(k, l) AS s FROM lengths),
+longest AS (SELECT surah, ayah, text, arg_max(k, s * 1e9 + k) AS k FROM sims GROUP BY ALL)
+SELECT surah, ayah, text, CASE WHEN q - coalesce(k, least(q, l)) <= 2 THEN q ELSE coalesce(k, least(q, l)) END AS consumed FROM tried LEFT JOIN longest USING (surah, ayah, text)""",
+)
 def best_prefix(spark, d):
     """How many leading words of each text its timeline's verse takes (one row per text and verse)."""
     s = segments(spark, d).select("take_id", "t0", words(skeleton(F.col("arabic"))).alias("query"))
     t = timeline(spark, d).filter("surah is not null").select("take_id", "t0", "surah", "ayah")
     c = verse_corpus(spark, d).select("surah", "ayah", F.col("words").alias("verse"))
     p = s.join(t, ["take_id", "t0"]).join(c, ["surah", "ayah"]).filter(F.size("query") > 0).select("surah", "ayah", "query", "verse").distinct()
-    return p.select("surah", "ayah", F.array_join("query", " ").alias("text"), best_prefix_length(F.col("query"), F.col("verse")).alias("consumed"))
+    return p.select("surah", "ayah", F.array_join("query", " ").alias("text"), best_prefix_length(F.col("query"), F.col("verse")).cast("long").alias("consumed"))
 
 
 @R.add("align_takes")
@@ -439,12 +449,12 @@ def recent_before(spark, d):
   NOT coalesce(duration_seconds > 0, false) AS g FROM cat WHERE {REASON} = 'ok'),
 t AS (SELECT count(*) AS videos, sum(s) AS seconds, count(*) FILTER (WHERE g) AS assumed FROM a),
 m AS (SELECT * FROM (VALUES {_values([r for r in costs.RATE_CARD])}) AS v(model, label, vr, ar, orr))
-SELECT model, videos, seconds, assumed, round(seconds * 60 / 1e6 * vr + seconds * 32 / 1e6 * ar, 6) AS input_cost, round(seconds / 60 * 350 / 1e6 * orr, 6) AS output_cost,
-  round((seconds * 60 / 1e6 * vr + seconds * 32 / 1e6 * ar + seconds / 60 * 350 / 1e6 * orr) * 0.5, 6) AS batch_total FROM t, m""",
+SELECT model, videos, seconds, assumed, round(seconds * 60 / 1e6 * vr + seconds * 32 / 1e6 * ar, 4) AS input_cost, round(seconds / 60 * 350 / 1e6 * orr, 4) AS output_cost,
+  round((seconds * 60 / 1e6 * vr + seconds * 32 / 1e6 * ar + seconds / 60 * 350 / 1e6 * orr) * 0.5, 4) AS batch_total FROM t, m""",
 )
 def estimate_cost(spark, d):
     e = costs.estimate(rules.with_decision(catalog(spark, d)))
-    return e.select("model", "videos", "seconds", "assumed", *[F.round(c, 6).alias(c) for c in ("input_cost", "output_cost", "batch_total")])
+    return e.select("model", "videos", "seconds", "assumed", *[F.round(c, 4).alias(c) for c in ("input_cost", "output_cost", "batch_total")])
 
 
 # --- sources --------------------------------------------------------------------------------------------------------
