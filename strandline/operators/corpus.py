@@ -8,10 +8,13 @@ from pyspark.sql import functions as F
 
 from strandline.functions.similarity import best_prefix_length, spell
 from strandline.functions.text import skeleton, words
+from strandline.session import small_enough
 
 #: Words in more than one verse of so many discriminate nothing.
 COMMON = 5
 CANDIDATES = 60
+#: Up to so many verses the index is sent to all tasks.
+MAX_VERSES = 200_000
 MIN_CONFIDENCE = 0.62
 
 
@@ -51,38 +54,57 @@ def texts_of(segments: DataFrame, text: str) -> DataFrame:
     return d.withColumn("words", words(F.col("norm")))
 
 
+def _keyed(texts: DataFrame) -> DataFrame:
+    """Texts with a key of two hashes (128 bits), partitioned by it: what follows groups by numbers, not by long texts."""
+    return texts.select(F.xxhash64("norm").alias("h1"), F.xxhash64("norm", F.lit(1)).alias("h2"), "norm", "words").repartition("h1", "h2")
+
+
 def candidates(texts: DataFrame, corpus: DataFrame, limit: int = CANDIDATES) -> DataFrame:
-    """The ``limit`` verses of each text (key ``norm``) with the largest sum of IDF over shared words: norm, pos, idf_sum, rank.
+    """The ``limit`` verses of each text with the largest sum of IDF over shared words: h1, h2, norm, words, pos, idf_sum, rank.
 
     Words of more than a fifth of the verses don't count, which also keeps the
     join free of hot words.  Sums are compared to 9 digits, ties by ``pos``.
+    The texts are partitioned once; the index is sent to them if the corpus has
+    at most ``MAX_VERSES`` verses (else it is joined by shuffling).
     """
     weights = idf_table(corpus).filter(F.col("df") <= F.col("n") / COMMON).select("word", "idf")
-    index = postings(corpus).join(weights, "word")
-    asked = texts.select("norm", F.explode(F.array_distinct("words")).alias("word"))
-    hits = asked.join(index, "word").groupBy("norm", "pos").agg(F.round(F.sum("idf"), 9).alias("idf_sum"))
-    w = W.partitionBy("norm").orderBy(F.col("idf_sum").desc(), "pos")
-    return hits.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= limit)
-
-
-def score_candidates(found: DataFrame, texts: DataFrame, corpus: DataFrame) -> DataFrame:
-    """Add ``score`` and ``coverage`` of each candidate.
-
-    Same formula as :func:`strandline.functions.similarity.score`, in steps, so that
-    no part is computed twice (expressions inside higher-order functions aren't shared).
-    """
+    index = postings(corpus).join(weights, "word").withColumn("pos", F.col("pos").cast("int"))
+    if small_enough(corpus, MAX_VERSES):
+        index = F.broadcast(index)
+    keyed = _keyed(texts)
+    asked = keyed.select("h1", "h2", F.explode(F.array_distinct("words")).alias("word"))
+    hits = asked.join(index, "word").groupBy("h1", "h2", "pos").agg(F.round(F.sum("idf"), 9).alias("idf_sum"))
+    w = W.partitionBy("h1", "h2").orderBy(F.col("idf_sum").desc(), "pos")
+    top = hits.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= limit)
+    return top.join(keyed, ["h1", "h2"])
+
+
+def _prepared(found: DataFrame, corpus: DataFrame) -> DataFrame:
+    """Candidates with what their score is made of, except the distance; each part is a column, so none is computed twice."""
     verse = corpus.select("pos", "surah", "ayah", F.col("words").alias("verse"), F.array_distinct("words").alias("vocabulary"))
-    d = found.join(texts, "norm").join(verse, "pos")
+    if small_enough(corpus, MAX_VERSES):
+        verse = F.broadcast(verse)
+    d = found.join(verse, "pos")
     d = d.withColumn("prefix", F.slice("words", 1, F.least(F.size("words"), F.size("verse") + 1)))
     d = d.withColumn("at", F.transform("prefix", lambda w: F.array_position("vocabulary", w)))
-    d = d.withColumn("at_verse", F.transform("verse", lambda w: F.array_position("vocabulary", w)))
     d = d.withColumn("hit", F.size(F.filter("at", lambda i: i > 0)))
     n, length = F.size("prefix"), F.size("verse")
+    d = d.withColumns({"n": n, "l": length, "longest": F.greatest(n, length)})
+    return d.withColumn("bag", 0.25 * (F.col("hit") / F.col("l")) + 0.2 * (F.col("hit") / F.col("n")))
+
+
+def _scored(prepared: DataFrame) -> DataFrame:
+    d = prepared.withColumn("at_verse", F.transform("verse", lambda w: F.array_position("vocabulary", w)))
     d = d.withColumn("distance", F.levenshtein(spell(F.col("at")), spell(F.col("at_verse"))))
-    total = 0.55 * (1 - F.col("distance") / F.greatest(n, length)) + 0.25 * (F.col("hit") / length) + 0.2 * (F.col("hit") / n)
+    total = 0.55 * (1 - F.col("distance") / F.col("longest")) + 0.25 * (F.col("hit") / F.col("l")) + 0.2 * (F.col("hit") / F.col("n"))
     return d.select(
-        "norm", "pos", "surah", "ayah", "rank", "words", "verse", total.alias("score"), (F.col("hit") / length).alias("coverage")
-    )
+        "h1", "h2", "norm", "pos", "surah", "ayah", "rank", "words", "verse", total.alias("score"), (F.col("hit") / F.col("l")).alias("coverage")
+    )
+
+
+def score_candidates(found: DataFrame, corpus: DataFrame) -> DataFrame:
+    """Candidates with surah, ayah, ``score`` and ``coverage``: the formula of :func:`strandline.functions.similarity.score`."""
+    return _scored(_prepared(found, corpus))
 
 
 def match_texts(segments: DataFrame, text: str, corpus: DataFrame, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
@@ -92,8 +114,13 @@ def match_texts(segments: DataFrame, text: str, corpus: DataFrame, min_confidenc
     claim, and so does a text without candidates (conf 0).
     """
     texts = texts_of(segments, text)
-    scored = score_candidates(candidates(texts, corpus), texts, corpus)
-    w = W.partitionBy("norm").orderBy(F.round("score", 9).desc(), "pos")
+    p = _prepared(candidates(texts, corpus), corpus)
+    # A score lies between the part for shared words alone and that with the smallest distance these words allow.  What
+    # can't reach the surest candidate needs no edit distance.
+    most = F.col("bag") + 0.55 * F.least("hit", "l") / F.col("longest")
+    sure = F.max("bag").over(W.partitionBy("h1", "h2"))
+    scored = _scored(p.withColumn("sure", sure).filter(most >= F.col("sure") - 1e-9))
+    w = W.partitionBy("h1", "h2").orderBy(F.round("score", 9).desc(), "pos")
     best = scored.withColumn("__r", F.row_number().over(w)).filter("__r = 1")
     best = best.withColumn("ok", F.col("score") >= min_confidence)
     # the costly extent is computed for winners only

@@ -167,7 +167,7 @@ scored AS (SELECT norm, pos, surah, ayah, query, verse, vocabulary, 0.55::DOUBLE
 def score_candidates(spark, d):
     texts = corpus.texts_of(segments(spark, d), "arabic")
     c = verse_corpus(spark, d)
-    scored = corpus.score_candidates(corpus.candidates(texts, c), texts, c)
+    scored = corpus.score_candidates(corpus.candidates(texts, c), c)
     return scored.select("norm", F.col("pos").cast("long").alias("pos"), "surah", "ayah", F.round("score", 6).alias("score"), F.round("coverage", 6).alias("coverage"))
 
 
