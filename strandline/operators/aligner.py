@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from strandline import constants as C
 from strandline.functions.text import py_skeleton
+from strandline.session import width
 
 TIMELINE = (
     "take_id long, out_no int, t0 double, t1 double, surah int, ayah int, conf double, is_partial boolean, error string"
@@ -230,7 +231,7 @@ def align(segments: DataFrame, corpus: DataFrame, options: AlignOptions = AlignO
 
     d = segments.select("take_id", "seg_no", F.col("t0").cast("double"), F.col("t1").cast("double"), "arabic")
     d = d.filter("take_id is not null and t0 is not null and t1 is not null and arabic is not null and trim(arabic) <> ''")
-    d = d.repartition("take_id").sortWithinPartitions("take_id", "t0", "seg_no", "t1", "arabic")
+    d = d.repartition(width(d), "take_id").sortWithinPartitions("take_id", "t0", "seg_no", "t1", "arabic")
     return d.select("take_id", "t0", "t1", "arabic").mapInPandas(run, TIMELINE)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from strandline.functions.similarity import best_prefix_length, spell
 from strandline.functions.text import skeleton, words
-from strandline.session import small_enough
+from strandline.session import small_enough, width
 
 #: Words in more than one verse of so many discriminate nothing.
 COMMON = 5
@@ -56,7 +56,8 @@ def texts_of(segments: DataFrame, text: str) -> DataFrame:
 
 def _keyed(texts: DataFrame) -> DataFrame:
     """Texts with a key of two hashes (128 bits), partitioned by it: what follows groups by numbers, not by long texts."""
-    return texts.select(F.xxhash64("norm").alias("h1"), F.xxhash64("norm", F.lit(1)).alias("h2"), "norm", "words").repartition("h1", "h2")
+    d = texts.select(F.xxhash64("norm").alias("h1"), F.xxhash64("norm", F.lit(1)).alias("h2"), "norm", "words")
+    return d.repartition(width(d), "h1", "h2")
 
 
 def candidates(texts: DataFrame, corpus: DataFrame, limit: int = CANDIDATES) -> DataFrame:

@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from strandline.session import width
+
 #: A cell is 2^20 units: for milliseconds, 17.5 minutes.
 CELL = 20
 #: Rows reduced at once.
@@ -166,7 +168,7 @@ def periods_in_cells(intervals: DataFrame, key: str, start: str, end: str, cell:
             yield work(held, key, "s", "e")
 
     local = intervals.select(key, start, end).mapInArrow(before, schema)
-    return local.repartition(key, "cell").sortWithinPartitions(key, "cell").mapInArrow(after, schema)
+    return local.repartition(width(local), key, "cell").sortWithinPartitions(key, "cell").mapInArrow(after, schema)
 
 
 def periods_and_gaps(intervals: DataFrame, key: str, start: str, end: str, cell: int = CELL) -> DataFrame:

@@ -53,6 +53,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def width(df: DataFrame) -> int:
+    """Tasks for work that is heavy for its bytes: the session's number of shuffle partitions.
+
+    AQE joins small partitions by their bytes, which leaves the cores idle where
+    each row costs much; it doesn't do so where the number is given.
+    """
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def small_enough(df: DataFrame, most: int) -> bool:
     """True if ``df`` has at most ``most`` rows; reads no more than ``most`` + 1 of them."""
     return len(df.limit(most + 1).select(df.columns[0]).collect()) <= most
