@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandline.llm.tokens import VOCABULARY, frame, with_sizes
+from strandline.session import width
 
 CELL = 4096
 MAX_SEGMENTS = 64
@@ -114,7 +115,7 @@ def fill_containers(
     # ids and sizes travel, texts stay where they are read
     sized = with_sizes(docs, "text", vocabulary).filter("tokens > 0")
     sized = sized.withColumn("cell", F.pmod(F.xxhash64("doc_id"), F.lit(cells)))
-    sized = sized.repartition("cell").sortWithinPartitions("cell", "doc_id", "tokens")
+    sized = sized.repartition(width(sized), "cell").sortWithinPartitions("cell", "doc_id", "tokens")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from strandline.operators.aligner import whole_groups
