@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.session import width
+from strandline.session import width as tasks
 from strandline.tables import current_catalog
 
 #: Seconds of a range; it must be longer than a piece.
@@ -101,7 +101,7 @@ def split_recordings(recordings: DataFrame, pauses: DataFrame, limit: int = 600,
 
     base = "video_id string, no int, end int, pauses array<int>"
     r = r.select("video_id", "no", "end", "pauses")
-    r = r.repartition(width(r), "video_id", "no")
+    r = r.repartition(tasks(r), "video_id", "no")
     # recordings of one range are ready; the tables of the others are chained per recording
     t = r.filter(F.col("end") > width).mapInPandas(tables, f"{base}, exits array<int>, counts array<int>")
     t = t.groupBy("video_id").agg(F.array_sort(F.collect_list(F.struct("no", "exits", "counts"))).alias("chain"))
