@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from strandline.operators.ordered import with_prefix, with_run_number
+from strandline.operators.ordered import Scan
 
 #: Sequence numbers per bucket of the scans below.
 SPAN = 1_000_000.0
@@ -31,8 +31,8 @@ def merge_intervals(intervals: DataFrame, key: str = "source") -> DataFrame:
     Null bounds and lo > hi don't count.
     """
     d = intervals.filter("lo <= hi").select(key, "lo", "hi").distinct()
-    d = with_prefix(d, [key], "lo", ["hi"], F.col("hi"), "max", False, "reach", SPAN)
-    d = with_run_number(d, [key], "lo", ["hi"], F.col("reach").isNull() | (F.col("lo") > F.col("reach") + 1), SPAN)
+    scan = Scan(d, [key], "lo", ["hi"], SPAN).prefix(F.col("hi"), "max", False, "reach")
+    d = scan.runs(F.col("reach").isNull() | (F.col("lo") > F.col("reach") + 1)).result()
     return d.groupBy(key, "run_no").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).drop("run_no")
 
 
@@ -54,8 +54,7 @@ def subtract_intervals(available: DataFrame, processed: DataFrame, key: str = "s
         )
 
     e = events(a, "a").unionByName(events(p, "p")).groupBy(key, "at").agg(F.sum("a").alias("a"), F.sum("p").alias("p"))
-    e = with_prefix(e, [key], "at", [], F.col("a"), "sum", True, "open_a", SPAN)
-    e = with_prefix(e, [key], "at", [], F.col("p"), "sum", True, "open_p", SPAN)
+    e = Scan(e, [key], "at", [], SPAN).prefix(F.col("a"), "sum", True, "open_a").prefix(F.col("p"), "sum", True, "open_p").result()
     e = e.withColumn("next", F.lead("at").over(W.partitionBy(key).orderBy("at")))
     return merge_intervals(e.filter("open_a > 0 and open_p = 0 and next > at").select(key, F.col("at").alias("lo"), (F.col("next") - 1).alias("hi")), key)
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from strandline.functions.text import strip
 from strandline.functions.times import parse_clock, round_to
-from strandline.operators.ordered import with_prefix, with_previous, with_run_number
+from strandline.operators.ordered import Scan
 
 #: A gap of this many seconds or more keeps equal neighbours apart.
 MERGE_GAP = 1.0
@@ -72,8 +72,8 @@ def dedupe_overlap(segments: DataFrame, key: str, order: str, text: str) -> Data
     Rows with a null time are dropped.  Returns key, order, t0, t1, text.
     """
     t = segments.filter("t0 is not null and t1 is not null").select(key, order, "t0", "t1", F.col(text).alias("__x"))
-    t = with_prefix(t, [key], "t0", [order], F.col("t1"), "max", False, "__end")
-    t = with_run_number(t, [key], "t0", [order], F.col("__end").isNull() | (F.col("t0") >= F.col("__end")), name="__part")
+    scan = Scan(t, [key], "t0", [order]).prefix(F.col("t1"), "max", False, "__reach")
+    t = scan.runs(F.col("__reach").isNull() | (F.col("t0") >= F.col("__reach")), "__part").result()
     row = F.struct("t0", F.col(order).alias("o"), "t1", F.col("__x").alias("x"), strip(F.coalesce("__x", F.lit(""))).alias("s"))
     rows = t.groupBy(key, "__part").agg(F.array_sort(F.collect_list(row)).alias("__r"))
     shape = rows.schema["__r"].dataType.elementType.simpleString()
@@ -100,13 +100,13 @@ def merge_adjacent(timeline: DataFrame, key: str = "take_id", order: str = "out_
     first piece and all later ones are.
     """
     t = timeline.select(key, order, "t0", "t1", "surah", "ayah", "conf", F.coalesce("is_partial", F.lit(False)).alias("is_partial"))
-    t = with_previous(t, [key], "t0", [order], ["surah", "ayah", "t1"])
+    scan = Scan(t, [key], "t0", [order]).previous(["surah", "ayah", "t1"])
     same = (
         (F.col("prev.surah") == F.col("surah"))
         & F.col("prev.ayah").eqNullSafe(F.col("ayah"))
         & (F.col("t0") - F.col("prev.t1") < MERGE_GAP)
     )
-    t = with_run_number(t, [key], "t0", [order], ~F.coalesce(same, F.lit(False)))
+    t = scan.runs(~F.coalesce(same, F.lit(False))).result()
     place = F.struct(F.col("t0").isNull(), "t0", order)
     return (
         t.groupBy(key, "run_no")
@@ -130,9 +130,9 @@ def verse_ranges(timeline: DataFrame, key: str = "take_id", order: str = "out_no
     inside; anything else but the next verse of the chapter begins a new range.
     """
     t = timeline.filter("surah is not null and ayah is not null").select(key, order, "t0", "surah", "ayah")
-    t = with_previous(t, [key], "t0", [order], ["surah", "ayah"])
+    scan = Scan(t, [key], "t0", [order]).previous(["surah", "ayah"])
     inside = (F.col("prev.surah") == F.col("surah")) & (F.col("ayah") - F.col("prev.ayah")).isin(0, 1)
-    t = with_run_number(t, [key], "t0", [order], ~F.coalesce(inside, F.lit(False)), name="range_no")
+    t = scan.runs(~F.coalesce(inside, F.lit(False)), "range_no").result()
     return t.groupBy(key, "range_no").agg(
         F.first("surah").alias("chapter"),
         F.min("ayah").alias("from_verse"),
