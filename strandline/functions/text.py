@@ -75,15 +75,19 @@ def _fold_tables() -> tuple[str, str, dict[str, str]]:
     return "".join(one), "".join(one.values()), several
 
 
-def fold(c: Column) -> Column:
-    """The key form: compatibility-decomposed, without accents, lower case, ``[a-z0-9]`` only."""
+def plain_letters(c: Column) -> Column:
+    """Lower case, with letters and digits decomposed to ASCII where they can be; everything else stays in its place."""
     src, dst, several = _fold_tables()
     long = "[" + "".join(several) + "]"
     table = F.create_map(*[F.lit(x) for kv in several.items() for x in kv])
     spelled = F.array_join(F.transform(F.split(c, ""), lambda x: F.coalesce(F.try_element_at(table, x), x)), "")
-    c = F.when(c.rlike(long), spelled).otherwise(c)
-    wide = F.when(c.rlike("[^\\x00-\\x7F]"), F.translate(c, src, dst)).otherwise(c)
-    return F.regexp_replace(F.lower(wide), "[^a-z0-9]", "")
+    one = F.when(c.rlike(long), spelled).otherwise(c)
+    return F.lower(F.when(c.rlike("[^\\x00-\\x7F]"), F.translate(one, src, dst)).otherwise(c))
+
+
+def fold(c: Column) -> Column:
+    """The key form: compatibility-decomposed, without accents, lower case, ``[a-z0-9]`` only."""
+    return F.regexp_replace(plain_letters(c), "[^a-z0-9]", "")
 
 
 def py_fold(text: str) -> str:

@@ -10,14 +10,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandline import constants as C
-from strandline.functions.text import fold, let, lookup, squeeze
+from strandline.functions.text import fold, let, lookup, plain_letters, squeeze
 from strandline.functions.times import round_to
 
 
-def tokens(title: Column) -> Column:
-    """Words of a title, curly quotes made straight; empty for null and blank titles."""
-    plain = squeeze(F.translate(F.coalesce(title, F.lit("")), "‘’ʻʼ`", "'''''"))
-    return F.filter(F.split(plain, " "), lambda t: t != "")
+def tidy(title: Column) -> Column:
+    """A title with straight quotes and single spaces; empty for null."""
+    return squeeze(F.translate(F.coalesce(title, F.lit("")), "‘’ʻʼ`", "'''''"))
 
 
 def _day(token: Column) -> Column:
@@ -40,6 +39,8 @@ def _find_date(t: Column, k: Column) -> Column:
     """Struct (i, iso) of the first place where day, month and a usable year follow each other; null if there is none."""
     n = F.size(t)
     places = F.when(n >= 3, F.sequence(F.lit(0), n - 3)).otherwise(F.array().cast("array<int>"))
+    # few places have a month; only these are looked at more closely
+    places = F.filter(places, lambda i: _at(k, i + 1).isin(list(C.MONTHS)))
     read = F.transform(
         places,
         lambda i: F.struct(
@@ -105,15 +106,18 @@ def _recognise(date: Column, free: Column) -> Column:
 def parse_title(title: Column) -> Column:
     """A title as one struct; each intermediate is computed once, so filters on its fields stay cheap."""
 
-    def with_keys(t: Column) -> Column:
-        return let(F.transform(t, fold), lambda k: let(_find_date(t, k), lambda d: with_date(t, k, d)))
+    def with_tokens(s: Column) -> Column:
+        # letters are decomposed once for the whole title; its spaces stay where they are
+        t = F.filter(F.split(s, " "), lambda x: x != "")
+        k = F.transform(F.filter(F.split(plain_letters(s), " "), lambda x: x != ""), lambda x: F.regexp_replace(x, "[^a-z0-9]", ""))
+        return let(t, lambda t: let(k, lambda k: let(_find_date(t, k), lambda d: with_date(t, k, d))))
 
     def with_date(t: Column, k: Column, d: Column) -> Column:
         each = F.transform(t, lambda x, i: F.struct(i.alias("i"), x.alias("t"), _at(k, i).alias("k")))
         outside = lambda x: d.isNull() | ~x["i"].between(d["i"], d["i"] + 2)
         return let(F.filter(each, lambda x: (x["k"] != "") & outside(x)), lambda free: _recognise(d, free))
 
-    return let(tokens(title), with_keys)
+    return let(tidy(title), with_tokens)
 
 
 TITLE_COLUMNS = ["rec_date", "venue", "session", "is_adhaan", "person", "person_key", "confidence", "leftovers"]
