@@ -43,6 +43,11 @@ def skeleton(c: Column) -> Column:
     return F.trim(c)
 
 
+def is_boilerplate(c: Column) -> Column:
+    """Whether a text is nothing but the opening formula; false for null."""
+    return skeleton(c) == skeleton(F.lit(C.BOILERPLATE))
+
+
 def words(skeleton_text: Column) -> Column:
     """The words of a skeleton; an empty array where there are none."""
     return F.filter(F.split(skeleton_text, " "), lambda w: w != "")

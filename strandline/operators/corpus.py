@@ -108,6 +108,16 @@ def score_candidates(found: DataFrame, corpus: DataFrame) -> DataFrame:
     return _scored(_prepared(found, corpus))
 
 
+def neighbours(matched: DataFrame, corpus: DataFrame, reach: int = 3) -> DataFrame:
+    """(surah, ayah) -> near: the positions from the verse's own to ``reach`` after it, as far as the corpus goes.
+
+    A band join written as equality: each verse names its few neighbours.
+    """
+    d = matched.join(corpus.select("surah", "ayah", "pos"), ["surah", "ayah"])
+    d = d.withColumn("near", F.explode(F.sequence(F.col("pos"), F.col("pos") + reach)))
+    return d.join(corpus.select(F.col("pos").alias("near")), "near", "left_semi")
+
+
 def match_texts(segments: DataFrame, text: str, corpus: DataFrame, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """The best verse of each distinct text by itself: norm, pos, surah, ayah, conf, coverage, consumed.
 

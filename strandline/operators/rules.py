@@ -46,6 +46,11 @@ def before_day(catalog: DataFrame, day: str) -> DataFrame:
     return catalog.filter(day_of(F.col("rec_date"), F.col("published_at")) < day)
 
 
+def planned_duration(duration: Column, default: float = 1500) -> Column:
+    """Seconds to plan windows for: the duration, or a default where none is known (1500 for one recording, 900 in bulk runs)."""
+    return F.coalesce(duration, F.lit(float(default)))
+
+
 def queue(catalog: DataFrame, limit: int | None = None) -> DataFrame:
     """Entries to analyse, newest first; a limit counts before finished work is taken out, 0 means none, None all."""
     q = catalog.filter("analyze").orderBy(F.col("published_at").desc_nulls_last(), "video_id")

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline import constants as C
 from strandline.functions.similarity import best_prefix_length, sequence_similarity
-from strandline.functions.text import decode_entities, escape_html, fold, skeleton, words
+from strandline.functions.text import decode_entities, escape_html, fold, is_boilerplate, skeleton, words
 from strandline.functions.times import clock, day_of, parse_clock, parse_iso_duration, pretty_date
 from strandline.operators import agreement, aligner, corpus, costs, dyadic, incremental, rollups, rules, spans, sync, titles
 from strandline.plans.registry import Registry
+from strandline.session import shared_dir
 from strandline.sources.feeds import entries_of_feed
+from strandline.streaming import sync_stream
 from strandline.tables import clean_segments, clean_timeline, current_catalog, current_takes, keep_last, load
 
 R = Registry()
@@ -230,6 +234,25 @@ def align_takes(spark, d):
     return aligner.align(segments(spark, d), verse_corpus(spark, d))
 
 
+@R.add(
+    "boilerplate_texts",
+    f"WITH {SEG} SELECT seg_id, {SKEL % "arabic"} = {SKEL % ("'" + C.BOILERPLATE + "'")} AS boilerplate FROM seg",
+)
+def boilerplate_texts(spark, d):
+    return segments(spark, d).select("seg_id", is_boilerplate(F.col("arabic")).alias("boilerplate"))
+
+
+@R.add(
+    "neighbour_verses",
+    f"""WITH {TL}, {CORPUS}, m AS (SELECT DISTINCT surah, ayah FROM tl WHERE surah IS NOT NULL)
+SELECT m.surah, m.ayah, n.pos AS near FROM m JOIN corpus c USING (surah, ayah) JOIN corpus n ON n.pos BETWEEN c.pos AND c.pos + 3""",
+)
+def neighbour_verses(spark, d):
+    """The verse matched and the three after it, for each verse that was matched."""
+    m = timeline(spark, d).filter("surah is not null").select("surah", "ayah").distinct()
+    return corpus.neighbours(m, verse_corpus(spark, d)).select("surah", "ayah", F.col("near").cast("long").alias("near"))
+
+
 # --- spans ----------------------------------------------------------------------------------------------------------
 
 MERGED = f"""{TL}, prev AS (SELECT *, lag(surah) OVER w AS ps, lag(ayah) OVER w AS pa, lag(t1) OVER w AS pt FROM tl
@@ -674,6 +697,29 @@ def run_outcomes(spark, d):
     return load(spark, d, "sync_outcomes").groupBy("run_no", "status").agg(F.count_distinct("video_id").alias("videos"))
 
 
+def as_pattern(path: str) -> str:
+    """A path as a pattern that only it matches: a stream takes a plain path for a folder, though a table may be one file."""
+    return path.removesuffix("parquet") + "parque[t]"
+
+
+@R.add("stream_deliveries", "SELECT date_trunc('day', ingested_at)::DATE::VARCHAR AS day, feed, count(*) AS deliveries FROM catalog_entries GROUP BY ALL")
+def stream_deliveries(spark, d):
+    """Deliveries per day and feed, counted by a stream over the table's files, to its end."""
+    at = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    path = f"{d}/catalog_entries.parquet"
+    stream = spark.readStream.schema(spark.read.parquet(path).schema).parquet(as_pattern(path))
+    sync_stream.run_to_table(sync_stream.deliveries_per_day(stream), f"{at}/out", f"{at}/checkpoint")
+    return spark.read.parquet(f"{at}/out").select(F.to_date("day.start").cast("string").alias("day"), "feed", "deliveries")
+
+
+@R.add("stream_align")
+def stream_align(spark, d):
+    """The aligner as a resumable stream over the segment files."""
+    at = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    sync_stream.align_new_files(spark, as_pattern(f"{d}/transcript_segments.parquet"), verse_corpus(spark, d), f"{at}/out", f"{at}/checkpoint")
+    return spark.read.parquet(f"{at}/out").drop("batch")
+
+
 # --- takes compared -------------------------------------------------------------------------------------------------
 
 METRICS = f"""{TL}, m AS (SELECT take_id, count(*) AS segments, count(*) - count(surah) AS unmatched, avg(conf) FILTER (WHERE surah IS NOT NULL) AS mc FROM tl GROUP BY take_id),

@@ -32,7 +32,17 @@ def align_new_files(
     q.awaitTermination()
 
 
-def deliveries_per_day(spark: SparkSession, events_dir: str, schema: str, delay: str = "2 days") -> DataFrame:
-    """Deliveries per ingestion day as a stream; rows later than ``delay`` behind the newest are dropped by the watermark."""
-    e = spark.readStream.schema(schema).parquet(events_dir).withWatermark("ingested_at", delay)
-    return e.groupBy(F.window("ingested_at", "1 day"), "feed").agg(F.count("*").alias("deliveries"))
+def deliveries_per_day(stream: DataFrame, delay: str = "2 days") -> DataFrame:
+    """Deliveries per ingestion day and feed; in append mode, rows later than ``delay`` behind the newest are dropped by the watermark."""
+    e = stream.withWatermark("ingested_at", delay)
+    return e.groupBy(F.window("ingested_at", "1 day").alias("day"), "feed").agg(F.count("*").alias("deliveries"))
+
+
+def run_to_table(counts: DataFrame, out_dir: str, checkpoint_dir: str) -> None:
+    """Run an aggregation over everything available and keep its complete result as a table, replaced by each batch."""
+
+    def batch(df: DataFrame, number: int) -> None:
+        df.write.mode("overwrite").parquet(out_dir)
+
+    q = counts.writeStream.outputMode("complete").foreachBatch(batch).option("checkpointLocation", checkpoint_dir)
+    q.trigger(availableNow=True).start().awaitTermination()
