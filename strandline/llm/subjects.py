@@ -31,6 +31,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strandline.session import cut
+
 NONE = "none"
 #: A subject is met once in a document if its sentences sum up to less than ONCE; a longer document has LONGER sentences.
 ONCE, LONGER = 1.5, 4
@@ -231,9 +233,10 @@ def train(documents: DataFrame, labels: DataFrame, subjects: DataFrame, options:
         raise ValueError(f"more than {o.max_subjects} subjects")
     k, size = len(names), 1 << o.bits
     at = {s: i for i, s in enumerate(names)}
-    known = _label_rows(labels, o)
+    # at most max_labelled ids with their subjects: they go to the texts, the texts stay where they are read
+    known = F.broadcast(_label_rows(labels, o))
     docs = documents.filter("text is not null").select("doc_id", "text")
-    taught = docs.join(known, "doc_id")
+    taught = cut(docs.join(known, "doc_id"))
     everything = docs.join(known, "doc_id", "left")
 
     def flags(given) -> np.ndarray | None:
