@@ -58,7 +58,7 @@ class Options:
 _MOJIBAKE = re.compile("[Â-ß][\u0080-¿]")
 _TAG = re.compile(r"<[^>]{0,200}>")
 _END = re.compile(r"(?<=[.!?;؟])[)\]\"»]*\s+|[\r\n]+|\s*<[^>]{0,200}>\s*")
-_DIGITS = dict.fromkeys(range(48, 58))
+_NUMBER = re.compile(r"\d+")
 _WORD = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*")
 
 
@@ -89,7 +89,7 @@ class Reader:
         ids, doc = [], []
         for d, text in enumerate(texts):
             for s in dict.fromkeys(sentences(text)):
-                f = self.of(s.translate(_DIGITS))  # numbers are no features
+                f = self.of(_NUMBER.sub("", s))  # numbers are no features
                 if len(f):
                     ids.append(f)
                     doc.append(d)
