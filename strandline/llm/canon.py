@@ -7,10 +7,12 @@ of itself, without being compared with the list.  Hits are ranked by a weighted
 Damerau-Levenshtein distance (vowels, doubled letters, neighbouring keys and
 letters of one sound are cheap) and by how frequent the term's entries are.
 
-Values are looked up once per distinct spelling.  Spellings that are frequent
-and differ from a term in sound only (another romanisation) join the dictionary
-as aliases learned from all rows, and the rest is looked up again: a typo of a
-romanisation is near to it, though far from the listed term.
+Values are looked up once per distinct spelling.  Spellings that have a term's
+consonants and differ from it in vowels or letters of one sound only (another
+romanisation) join the dictionary as aliases learned from all rows, and the rest
+is looked up again: a typo of a romanisation is near to it, though far from the
+listed term.  How many rows a spelling has doesn't matter for that, so that the
+code of an entry doesn't depend on the size of the input.
 """
 
 from __future__ import annotations
@@ -30,8 +32,8 @@ from strandline.session import cut, width
 UNMATCHED = "unmatched"
 #: Most terms a dictionary may hold in a task, and most learned aliases and free values that join it, most frequent first.
 MAX_TERMS, MAX_LEARNED = 20_000, 5_000
-#: Rows an unlisted spelling must have to be learned, and its largest weighted distance by sound.
-LEARN_ROWS, LEARN_COST = 5, 1.0
+#: The largest weighted distance by sound of an unlisted spelling that is learned.
+LEARN_COST = 1.0
 
 # Words that say nothing about the place or session named.
 FILLER = {"at", "from", "in", "the", "live", "full", "hd", "4k", "new", "prayer", "salah", "salat", "salaat", "ksa", "main", "hall", "east", "door", "level", "1", "2", "3"}
@@ -70,6 +72,12 @@ def consonants(text: str) -> str:
     return re.sub(r"[aeiouy]", "", text)
 
 
+def romanises(a: str, b: str) -> bool:
+    """Two spellings have the same consonants by sound, one for one: romanisations of one word, without a letter of a neighbouring key."""
+    x, y = consonants(sound(a)), consonants(sound(b))
+    return len(x) == len(y) and all(c == d or frozenset((c, d)) in SAME_SOUND for c, d in zip(x, y))
+
+
 def _replace_cost(a: str, b: str) -> float:
     if a in VOWELS and b in VOWELS:
         return 0.4
@@ -124,9 +132,9 @@ def allowed_cost(s: str) -> float:
 class Dictionary:
     """Symmetric-delete dictionary of the terms of one field."""
 
-    def __init__(self, terms: Iterable[tuple[str, str, int]]):
+    def __init__(self, terms: Iterable[tuple[str, str, float]]):
         """(spelling, code, rows): how often a spelling was entered breaks ties."""
-        self.terms: dict[str, tuple[str, int]] = {}
+        self.terms: dict[str, tuple[str, float]] = {}
         for spelling, code, n in terms:
             p = plain(spelling)
             if p and (p not in self.terms or self.terms[p][1] < n):
@@ -162,20 +170,20 @@ class Dictionary:
             written, spoken = distance(entry, t), distance(heard, sound(t)) + 0.1
             cost = min(written, spoken)
             if cost <= min(allowed_cost(entry), allowed_cost(t)):
-                found.append((cost, -self.terms[t][1], self.terms[t][0], spoken))
+                found.append((cost, -self.terms[t][1], self.terms[t][0], spoken, t))
         # an abbreviation keeps the consonants and has no vowel
         if consonants(entry) == entry and len(entry) > 1:
-            found += [(0.9, -self.terms[t][1], self.terms[t][0], 9.0) for t in self.by_consonants.get(entry, ())]
+            found += [(0.9, -self.terms[t][1], self.terms[t][0], 9.0, t) for t in self.by_consonants.get(entry, ())]
             found += [
-                (1.2, -self.terms[t][1], self.terms[t][0], 9.0)
+                (1.2, -self.terms[t][1], self.terms[t][0], 9.0, t)
                 for c, ts in self.by_consonants.items()
                 if len(entry) > 2 and c.startswith(entry)
                 for t in ts
             ]
         if not found:
             return None
-        cost, _, code, spoken = min(found)
-        return cost, code, spoken <= LEARN_COST
+        cost, _, code, spoken, t = min(found)
+        return cost, code, spoken <= LEARN_COST and romanises(entry, t)
 
     def lookup(self, entry: str | None) -> tuple[float, str, bool] | None:
         """The term an entry names: as a whole, or, where it has additions, by the best span of its words."""
@@ -288,15 +296,15 @@ def split_phrase(left: list[str], joint: int | None, venues: Dictionary, session
     return v, s
 
 
-def _terms(canon: DataFrame) -> list[tuple[str, str, str, int]]:
-    """(field, spelling, code, rows) of the reference list, which must be small: every task holds it."""
+def _terms(canon: DataFrame) -> list[tuple[str, str, str, float]]:
+    """(field, spelling, code, rows) of the reference list, which must be small: every task holds it.  Listed goes before learned, at any size."""
     spelled = canon.select(
         "field", "code", F.explode(F.array_distinct(F.concat(F.array("code", "label"), F.coalesce("known_aliases", F.array().cast("array<string>"))))).alias("s")
     ).filter("s is not null and code is not null")
     rows = spelled.limit(MAX_TERMS + 1).collect()
     if len(rows) > MAX_TERMS:
         raise ValueError(f"more than {MAX_TERMS} terms; every task would hold them")
-    return [(r.field, r.s, r.code, 1_000_000) for r in rows]
+    return [(r.field, r.s, r.code, float("inf")) for r in rows]
 
 
 FIELDS = ("mosque", "prayer")
@@ -332,7 +340,7 @@ def map_values(entries: DataFrame, canon: DataFrame) -> DataFrame:
     # the listed terms first, then also what was learned from all rows: aliases, and values that name no term
     first = matched(spark.sparkContext.broadcast(terms))
     kinds = first.groupBy("field", "key", "code").agg(F.sum("n").alias("n"), F.max("by_sound").alias("by_sound"), F.min("cost").alias("cost"))
-    heard = kinds.filter((F.col("code") != UNMATCHED) & F.col("by_sound") & (F.col("cost") > 0) & (F.col("n") >= LEARN_ROWS))
+    heard = kinds.filter((F.col("code") != UNMATCHED) & F.col("by_sound") & (F.col("cost") > 0))
     learned = [(r.field, r.key, r.code, r.n) for r in heard.orderBy(F.col("n").desc(), "field", "key", "code").limit(MAX_LEARNED).collect()]
     shared = spark.sparkContext.broadcast(terms + learned)
     final = cut(matched(shared).select("field", "value", "code", "key", "n"))

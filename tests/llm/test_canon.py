@@ -81,3 +81,23 @@ def test_dictionary_equals_search():
             assert hit[1] in near
         elif len(s) > 6:
             assert not [x for x in near if canon.distance(s, x) <= 1]
+
+
+def test_codes_dont_depend_on_the_number_of_rows(spark):
+    """A romanisation is learned from one row as from many; a mistyped key is not, however often it comes."""
+    c = spark.createDataFrame(TERMS, "field string, code string, label string, known_aliases array<string>")
+    rows = [(1, "t", None, "Fedjr"), (2, "t", None, "fedkr"), (3, "t", "Mqkkah", None), (4, "t", "mqkksh", None), (5, "fedkr from Mecca 4th May 24", None, None)]
+
+    def codes(n):
+        e = spark.createDataFrame(rows * n, "row_id long, title string, mosque string, prayer string")
+        return {tuple(r) for r in canon.map_values(e, c).collect()}
+
+    got = codes(1)
+    assert {(1, "prayer", "fajr"), (2, "prayer", "fajr"), (5, "prayer", "fajr"), (5, "mosque", "makkah"), (3, "mosque", "makkah")} < got
+    assert not canon.Dictionary([("Makkah", "makkah", 1)]).closest("mqkkah")[2]
+    assert codes(10) == got
+
+
+def test_romanisations():
+    assert all(canon.romanises(a, b) for a, b in [("fedjr", "fajr"), ("teravih", "taraweeh"), ("sobh", "subh"), ("makka", "makkah"), ("thuhr", "zuhr")])
+    assert not any(canon.romanises(a, b) for a, b in [("madeenqh", "madeenah"), ("mqkka", "makkah"), ("fedkr", "fajr")])
