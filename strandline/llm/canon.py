@@ -30,7 +30,7 @@ from strandline import constants as C
 from strandline.session import cut, width
 
 UNMATCHED = "unmatched"
-#: Most terms a dictionary may hold in a task, and most learned aliases and free values that join it, most frequent first.
+#: Most terms a dictionary may hold in a task, and most learned aliases that join it; more of either are refused.
 MAX_TERMS, MAX_LEARNED = 20_000, 5_000
 #: The largest weighted distance by sound of an unlisted spelling that is learned.
 LEARN_COST = 1.0
@@ -195,9 +195,9 @@ class Dictionary:
         return min(hits, default=None)
 
     def _lookup(self, words: list[str]) -> tuple[float, str, bool] | None:
-        best = self.closest(" ".join(words))
-        if best:
-            return best
+        whole = self.closest(" ".join(words))
+        if whole and not whole[0]:
+            return whole
         # a span must hold all words that say something; so there are few, however long the entry
         telling = [i for i, w in enumerate(words) if not (w in FILLER or w.isdigit())]
         lo, hi = (telling[0], telling[-1]) if telling else (0, len(words) - 1)
@@ -205,7 +205,10 @@ class Dictionary:
             starts = range(max(0, hi - n + 1), min(lo, len(words) - n) + 1)
             hits = [h for i in starts if (h := self.closest(" ".join(words[i : i + n])))]
             if hits:
-                return min(hits)
+                # with additions an entry may be near a learned spelling, and nearer a term without them
+                return min(hits + [whole] if whole else hits)
+        if whole:
+            return whole
         # a filler word may be mistyped too: then a span without spelling mistakes is enough
         return self.certain(words)
 
@@ -267,6 +270,16 @@ def title_phrase(title: str | None) -> tuple[list[str], int | None]:
     return left, joint
 
 
+def parts_of(left: list[str], joint: int | None, longest: int) -> set[str]:
+    """Keys of the parts that :func:`split_phrase` may read of a title's phrase; none longer than ``longest``."""
+    keys = set()
+    for c in [joint] if joint is not None else range(len(left) + 1):
+        for words in (left[:c], left[c:]):
+            if words and len(k := key_of(" ".join(words))) <= longest:
+                keys.add(k)
+    return keys
+
+
 def split_phrase(left: list[str], joint: int | None, venues: Dictionary, sessions: Dictionary, free: dict[str, set[str]]):
     """(venue entry, its code), (session entry, its code) of a title's phrase; None for a field it says nothing about.
 
@@ -341,13 +354,14 @@ def map_values(entries: DataFrame, canon: DataFrame) -> DataFrame:
     first = matched(spark.sparkContext.broadcast(terms))
     kinds = first.groupBy("field", "key", "code").agg(F.sum("n").alias("n"), F.max("by_sound").alias("by_sound"), F.min("cost").alias("cost"))
     heard = kinds.filter((F.col("code") != UNMATCHED) & F.col("by_sound") & (F.col("cost") > 0))
-    learned = [(r.field, r.key, r.code, r.n) for r in heard.orderBy(F.col("n").desc(), "field", "key", "code").limit(MAX_LEARNED).collect()]
+    learned = [(r.field, r.key, r.code, r.n) for r in heard.select("field", "key", "code", "n").limit(MAX_LEARNED + 1).collect()]
+    if len(learned) > MAX_LEARNED:
+        raise ValueError(f"more than {MAX_LEARNED} learned spellings; every task would hold them")
+    learned.sort(key=lambda x: (-x[3], x[:3]))
     shared = spark.sparkContext.broadcast(terms + learned)
     final = cut(matched(shared).select("field", "value", "code", "key", "n"))
 
-    unknown = final.filter((F.col("code") == UNMATCHED) & (F.col("key") != "")).groupBy("field", "key").agg(F.sum("n").alias("n"))
-    free = [(r.field, r.key) for r in unknown.orderBy(F.col("n").desc(), "field", "key").limit(MAX_LEARNED).collect()]
-    free_values = spark.sparkContext.broadcast({f: {k for g, k in free if g == f} for f in FIELDS})
+    unknown = final.filter((F.col("code") == UNMATCHED) & (F.col("key") != "")).select("field", "key").distinct()
 
     base = entries.select("row_id", "title", *FIELDS)
     literal = lambda f: F.col("value").isin(sorted(codes[f]))
@@ -363,14 +377,27 @@ def map_values(entries: DataFrame, canon: DataFrame) -> DataFrame:
     titles = missing.select("title").distinct()
     titles = titles.repartition(width(titles))
 
+    # values that name no term go to the titles that hold them: there may be any number of them
+    longest = unknown.agg(F.max(F.length("key"))).first()[0] or 0
+
+    def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            b["key"] = [sorted(parts_of(*title_phrase(t), longest)) for t in b["title"]]
+            yield b.explode("key").dropna(subset=["key"])
+
+    held = titles.mapInPandas(part, "title string, key string").join(unknown, "key")
+    known = held.groupBy("title").agg(*[F.collect_set(F.when(F.col("field") == f, F.col("key"))).alias(f"{f}_known") for f in FIELDS])
+    titles = titles.join(known, "title", "left").repartition(width(titles))
+
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         dicts = {f: Dictionary((s, c, n) for g, s, c, n in shared.value if g == f) for f in FIELDS}
         for b in batches:
-            got = [split_phrase(*title_phrase(t), dicts["mosque"], dicts["prayer"], free_values.value) for t in b["title"]]
+            free = [{f: set() if k is None else set(k) for f, k in zip(FIELDS, ks)} for ks in zip(*[b[f"{f}_known"] for f in FIELDS])]
+            got = [split_phrase(*title_phrase(t), dicts["mosque"], dicts["prayer"], k) for t, k in zip(b["title"], free)]
             for i, f in enumerate(FIELDS):
                 b[f"{f}_said"] = [g[i][0] if g[i] else None for g in got]
                 b[f"{f}_code"] = [g[i][1] if g[i] else None for g in got]
-            yield b
+            yield b[["title", *[f"{f}_{x}" for f in FIELDS for x in ("said", "code")]]]
 
     said = titles.mapInPandas(read, "title string, " + ", ".join(f"{f}_said string, {f}_code string" for f in FIELDS))
     from_title = missing.join(said, "title")

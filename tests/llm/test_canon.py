@@ -101,3 +101,29 @@ def test_codes_dont_depend_on_the_number_of_rows(spark):
 def test_romanisations():
     assert all(canon.romanises(a, b) for a, b in [("fedjr", "fajr"), ("teravih", "taraweeh"), ("sobh", "subh"), ("makka", "makkah"), ("thuhr", "zuhr")])
     assert not any(canon.romanises(a, b) for a, b in [("madeenqh", "madeenah"), ("mqkka", "makkah"), ("fedkr", "fajr")])
+
+
+def test_any_number_of_unknown_values(spark, monkeypatch):
+    """Unknown values part titles however many there are; learned spellings above the bound are refused, not dropped."""
+    c = spark.createDataFrame(TERMS, "field string, code string, label string, known_aliases array<string>")
+    rows = [(i, "t", "Grand " + "".join(chr(97 + int(x)) for x in f"{i:04d}"), None) for i in range(60)]
+    rows += [(1000 + i, f"{rows[i][2]} book reading 4th May 24", None, None) for i in range(60)]
+    rows.append((2000, "t", None, "book reading"))
+    e = spark.createDataFrame(rows, "row_id long, title string, mosque string, prayer string")
+
+    def codes():
+        return sorted(tuple(r) for r in canon.map_values(e, c).collect())
+
+    got = codes()
+    monkeypatch.setattr(canon, "MAX_LEARNED", 10)
+    assert codes() == got
+    assert all((1000 + i, f, "unmatched") in got for i in range(60) for f in canon.FIELDS)
+    monkeypatch.setattr(canon, "MAX_LEARNED", 1)
+    sobh = spark.createDataFrame([(1, "t", "Makka", "Sobh"), (2, "t", None, "Fedjr")], e.schema)
+    with pytest.raises(ValueError):
+        canon.map_values(sobh, c)
+
+
+def test_an_addition_is_not_a_misspelling():
+    d = canon.Dictionary([("isha", "isha", 9), ("ishah", "isha", 1)])
+    assert d.lookup("'Isha HD")[0] == 0
