@@ -52,6 +52,20 @@ def p4_found(spark, d):
     return runs.timeline_runs(load(spark, d, "timeline_segments")).select("take_id", "first_no", "last_no")
 
 
+@R.add(
+    "p4_runs",
+    """WITH t AS (SELECT * FROM timeline_segments QUALIFY row_number() OVER (PARTITION BY take_id, out_no ORDER BY loaded_at DESC NULLS LAST, t0, t1, surah, ayah, conf) = 1),
+l AS (SELECT *, lag(surah) OVER w AS ps, lag(ayah) OVER w AS pa, lag(t1) OVER w AS pt FROM t WINDOW w AS (PARTITION BY take_id ORDER BY t0 NULLS LAST, out_no)),
+r AS (SELECT *, sum(CASE WHEN ps = surah AND pa = ayah AND t0 - pt < 1.0 THEN 0 ELSE 1 END) OVER (PARTITION BY take_id ORDER BY t0 NULLS LAST, out_no) AS run FROM l)
+SELECT take_id, first(out_no ORDER BY t0 NULLS LAST, out_no) AS first_no, count(*) AS n_rows, round(last(t1 ORDER BY t0 NULLS LAST, out_no) - first(t0 ORDER BY t0 NULLS LAST, out_no), 6) AS duration,
+  CASE WHEN bool_and(ayah IS NOT NULL) THEN any_value(surah) END AS surah, CASE WHEN bool_and(surah IS NOT NULL) THEN any_value(ayah) END AS ayah FROM r GROUP BY take_id, run""",
+)
+def p4_runs(spark, d):
+    """The whole timeline collapsed: one event per run, single rows included, with count and duration."""
+    r = runs.timeline_runs(load(spark, d, "timeline_segments"), 1)
+    return r.select("take_id", "first_no", F.col("rows").alias("n_rows"), F.round("duration", 6).alias("duration"), "surah", "ayah")
+
+
 @R.add(
     "p7_found",
     """WITH RECURSIVE v AS (SELECT video_id, ceil(duration_seconds)::INT AS dur FROM (SELECT * FROM catalog_entries WHERE video_id IS NOT NULL

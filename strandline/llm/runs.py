@@ -2,13 +2,17 @@
 
 Per entity, neighbouring runs are merged, the most similar pair first, from a
 linked list with a priority queue, until no pair meets the limits of similarity
-and gap.  An entity of any size is spread: the events are range-partitioned by
-(entity, time), each task agglomerates what it has, and only the stretches that
-are cut by the border of a partition are put together in a second pass.  A
-stretch ends where the gap limit is exceeded; no merge ever crosses such a place,
-so stretches are independent and the result is that of one pass over everything.
-Within a stretch, identical neighbours are merged as they come (they are at the
-top of the queue anyway), so a run of millions of copies stays one node.
+and gap.  No merge ever crosses a place where the gap limit is exceeded or where
+the two events can't become similar whatever is merged around them (other
+chapters; at similarity 1, other keys).  So the stretches between such places are
+independent, and the result is that of one pass over everything.
+
+An entity of any size is spread: the events are range-partitioned by (entity,
+time), each task agglomerates what it has, and of the stretches cut by the border
+of a partition only the runs of equal events are passed on, to be put together in
+a second pass.  Pairs of equal events are at the top of the queue and leave its
+keys as they are, so a part of a stretch may process them alone, in any order:
+a run of millions of copies is one node after the first pass.
 """
 
 from __future__ import annotations
@@ -16,6 +20,7 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,8 +28,10 @@ from pyspark.sql import functions as F
 from strandline.session import width
 from strandline.tables import clean_timeline
 
-_OUT = "entity long, first_no long, last_no long, t0 double, t1 double, n long, key1 long, key2 long, open int, part int"
+_OUT = "entity long, first_no long, last_no long, t0 double, t1 double, n long, key1 long, key2 long, has boolean, weight double, open int"
 _COLS = [c.split()[0] for c in _OUT.split(", ")]
+#: A stretch of so many nodes merges its equal neighbours before more is read.
+CHUNK = 100_000
 
 
 def similarity(a: tuple, b: tuple) -> float:
@@ -34,107 +41,146 @@ def similarity(a: tuple, b: tuple) -> float:
     return 1.0 / (1 + abs(a[1] - b[1]))
 
 
-class Node:
-    """A run: what it spans, how many rows it has, and the key of its longest part."""
+class Runs:
+    """Ordered runs as columns: what each spans, how many rows it has, and the key of its longest part with that part's length."""
 
-    __slots__ = ("first", "last", "t0", "t1", "n", "key", "weight", "prev", "next", "alive")
+    __slots__ = ("entity", "first", "last", "t0", "t1", "n", "key1", "key2", "has", "weight")
 
-    def __init__(self, first, last, t0, t1, n, key):
-        self.first, self.last, self.t0, self.t1, self.n, self.key = first, last, t0, t1, n, key
-        self.weight = (t1 or 0) - (t0 or 0)
-        self.prev = self.next = None
-        self.alive = True
+    def __init__(self, *columns):
+        self.entity, self.first, self.last, self.t0, self.t1, self.n, self.key1, self.key2, self.has, self.weight = columns
 
-    def take(self, other: Node) -> None:
-        """Append the run after this one."""
-        if other.weight > self.weight:
-            self.key, self.weight = other.key, other.weight
-        elif other.key == self.key:
-            self.weight += other.weight
-        self.last, self.t1, self.n = other.last, other.t1, self.n + other.n
+    def columns(self) -> list:
+        return [getattr(self, c) for c in self.__slots__]
 
+    def __len__(self) -> int:
+        return len(self.first)
 
-def near(a: Node, b: Node, max_gap: float) -> bool:
-    """The gap limit holds between a run and the next one; a null time never does."""
-    return a.t1 is not None and b.t0 is not None and b.t0 - a.t1 < max_gap
+    def cut(self, lo: int, hi: int) -> Runs:
+        return Runs(*(c[lo:hi] for c in self.columns()))
 
+    def pick(self, at) -> Runs:
+        return Runs(*(c[at] for c in self.columns()))
 
-def agglomerate(nodes: list[Node], min_similarity: float, max_gap: float) -> list[Node]:
-    """Merge neighbours, most similar pair first (ties: the earlier one), until none meets both limits."""
-    if len(nodes) < 2:
-        return nodes
-    at = {id(n): i for i, n in enumerate(nodes)}
-    queue: list[tuple[float, int, int, Node, Node]] = []
+    @staticmethod
+    def join(parts: list[Runs]) -> Runs:
+        return parts[0] if len(parts) == 1 else Runs(*(np.concatenate(c) for c in zip(*(p.columns() for p in parts))))
 
-    def offer(a: Node | None, b: Node | None) -> None:
-        if a is not None and b is not None and near(a, b, max_gap):
-            s = similarity(a.key, b.key)
+
+def agglomerate(r: Runs, min_similarity: float, max_gap: float, steps: list[int] | None = None) -> Runs:
+    """Merge neighbours of one stretch, most similar pair first (ties: the earlier one), until none meets both limits.
+
+    The runs are a linked list; the priority queue holds the pairs of neighbours
+    that meet the limits.  ``steps`` counts the merges.
+    """
+    size = len(r)
+    if size < 2:
+        return r
+    t0, t1, n, weight, last = r.t0.tolist(), r.t1.tolist(), r.n.tolist(), r.weight.tolist(), r.last.tolist()
+    key = [(a, b) if h else (None, None) for a, b, h in zip(r.key1.tolist(), r.key2.tolist(), r.has.tolist())]
+    nxt, prev, alive = list(range(1, size + 1)), list(range(-1, size - 1)), [True] * size
+
+    def pair(i: int, j: int) -> tuple[float, int, int] | None:
+        if t0[j] - t1[i] < max_gap:  # a null time is NaN, and never near
+            s = similarity(key[i], key[j])
             if s >= min_similarity and s > 0:
-                heapq.heappush(queue, (-s, at[id(a)], at[id(b)], a, b))
+                return -s, i, j
+        return None
 
-    for a, b in zip(nodes, nodes[1:]):
-        a.next, b.prev = b, a
-        offer(a, b)
+    queue = [p for i in range(size - 1) if (p := pair(i, i + 1))]
+    heapq.heapify(queue)
+    merged = 0
     while queue:
-        s, _, _, a, b = heapq.heappop(queue)
-        # a pair is stale if either side went, they are no neighbours any more, or a's key changed meanwhile
-        if not (a.alive and b.alive) or a.next is not b or -s != similarity(a.key, b.key):
+        s, i, j = heapq.heappop(queue)
+        # a pair is stale if either side went, they are no neighbours any more, or a key changed meanwhile
+        if not (alive[i] and alive[j]) or nxt[i] != j or -s != similarity(key[i], key[j]):
             continue
-        a.take(b)
-        b.alive = False
-        a.next = b.next
-        if b.next is not None:
-            b.next.prev = a
-        offer(a.prev, a)
-        offer(a, a.next)
-    return [n for n in nodes if n.alive]
-
-
-class _Stretches:
-    """Feeds ordered runs of one partition; gives back finished stretches of an entity, agglomerated."""
-
-    def __init__(self, min_similarity: float, max_gap: float):
-        self.s, self.g = min_similarity, max_gap
-        self.nodes: list[Node] = []
-        self.entity = None
-
-    def add(self, entity, node: Node) -> tuple[object, list[Node]] | None:
-        done = None
-        if self.nodes:
-            last = self.nodes[-1]
-            if entity != self.entity or not near(last, node, self.g):
-                done = self.flush()
-            elif last.key == node.key and similarity(last.key, node.key) >= self.s:
-                last.take(node)
-                return None
-        self.entity = entity
-        self.nodes.append(node)
-        return done
-
-    def flush(self) -> tuple[object, list[Node]] | None:
-        if not self.nodes:
-            return None
-        done, self.nodes = (self.entity, self.nodes), []
-        return done
-
-
-def _key(a, b) -> tuple:
-    return (None if pd.isna(a) else int(a), None if pd.isna(b) else int(b))
-
-
-def _num(x):
-    return None if pd.isna(x) else float(x)
-
-
-def _nodes(batches: Iterator[pd.DataFrame]):
-    for b in batches:
-        for e, f, l, t0, t1, n, k1, k2 in zip(*(b[c].tolist() for c in _COLS[:8])):
-            yield e, Node(f, l, _num(t0), _num(t1), n, _key(k1, k2))
-
-
-def _frame(rows: list[tuple]) -> pd.DataFrame:
-    f = pd.DataFrame.from_records(rows, columns=_COLS)
-    return f.astype({"t0": "Float64", "t1": "Float64", "key1": "Int64", "key2": "Int64"})
+        merged += 1
+        if key[j] == key[i]:
+            weight[i] += weight[j]
+        elif weight[j] > weight[i]:
+            key[i], weight[i] = key[j], weight[j]
+        last[i], t1[i], n[i], alive[j] = last[j], t1[j], n[i] + n[j], False
+        nxt[i] = k = nxt[j]
+        if k < size:
+            prev[k] = i
+            if p := pair(i, k):
+                heapq.heappush(queue, p)
+        if prev[i] >= 0 and (p := pair(prev[i], i)):
+            heapq.heappush(queue, p)
+    if steps is not None:
+        steps.append(merged)
+    at = np.array(alive).nonzero()[0]
+    out = r.pick(at)
+    keep = at.tolist()
+    out.last, out.t1, out.n, out.weight = (np.array([c[i] for i in keep], o.dtype) for c, o in ((last, r.last), (t1, r.t1), (n, r.n), (weight, r.weight)))
+    out.key1 = np.array([key[i][0] or 0 for i in keep], np.int64)
+    out.key2 = np.array([key[i][1] or 0 for i in keep], np.int64)
+    return out
+
+
+def borders(r: Runs, min_similarity: float, max_gap: float) -> np.ndarray:
+    """Places (index of the run after) no merge can cross: another entity, the gap limit, keys that can't become similar."""
+    with np.errstate(invalid="ignore"):
+        near = (r.entity[1:] == r.entity[:-1]) & (r.t0[1:] - r.t1[:-1] < max_gap)
+    like = r.has[1:] & r.has[:-1] & (r.key1[1:] == r.key1[:-1])
+    if min_similarity >= 1:
+        like &= r.key2[1:] == r.key2[:-1]
+    return (~(near & like)).nonzero()[0] + 1
+
+
+def _runs(b: pd.DataFrame) -> Runs:
+    return Runs(*(b[c].to_numpy() for c in _COLS[:10]))
+
+
+def _frame(parts: list[Runs], is_open: int, min_rows: int) -> pd.DataFrame:
+    r = Runs.join(parts)
+    f = pd.DataFrame(dict(zip(_COLS, r.columns())))
+    f["open"] = is_open
+    return f if is_open else f[f["n"] >= min_rows]
+
+
+class _Pass:
+    """One partition's runs in order; gives back frames of finished runs, and of those of stretches its borders cut."""
+
+    def __init__(self, min_similarity: float, max_gap: float, min_rows: int, cut_borders: bool):
+        self.s, self.g, self.min_rows = min_similarity, max_gap, min_rows
+        self.held: Runs | None = None  # the last stretch, which may go on
+        self.first = cut_borders  # whether the next stretch to end is the first one
+
+    def _equal(self, r: Runs) -> Runs:
+        """A part of a stretch with its equal neighbours merged: the queue's first steps, whatever comes before or after."""
+        return agglomerate(r, 1.0, self.g)
+
+    def feed(self, r: Runs) -> Iterator[pd.DataFrame]:
+        if not len(r):
+            return
+        if self.held is not None:
+            r = Runs.join([self.held, r])
+        at = borders(r, self.s, self.g)
+        if not len(at):
+            self.held = self._equal(r) if len(r) > CHUNK else r
+            return
+        start = 0
+        if self.first:
+            yield _frame([self._equal(r.cut(0, at[0]))], 1, self.min_rows)
+            self.first, start = False, 1
+        # stretches of one run have no pair: they are taken together, the others go through the queue
+        edges = np.concatenate([[0], at])[start:]
+        length = np.diff(edges)
+        single = edges[:-1][length == 1]
+        done = [r.pick(single)] if len(single) and self.min_rows <= r.n[single].max() else []
+        for i in (length > 1).nonzero()[0].tolist():
+            done.append(agglomerate(r.cut(edges[i], edges[i + 1]), self.s, self.g))
+        if done:
+            yield _frame(done, 0, self.min_rows)
+        rest = r.cut(at[-1], len(r))
+        self.held = self._equal(rest) if len(rest) > CHUNK else rest
+
+    def finish(self, is_open: bool) -> Iterator[pd.DataFrame]:
+        if self.held is not None:
+            r = self._equal(self.held) if is_open else agglomerate(self.held, self.s, self.g)
+            yield _frame([r], int(is_open), self.min_rows)
+        self.held = None
 
 
 def collapse(events: DataFrame, min_similarity: float = 1.0, max_gap: float = 1.0, min_rows: int = 1) -> DataFrame:
@@ -142,62 +188,45 @@ def collapse(events: DataFrame, min_similarity: float = 1.0, max_gap: float = 1.
 
     Order: t0 (nulls last), then no.  A null key is like nothing, not even another
     null; a null time never continues a run.  ``t0``, ``t1`` are those of the first
-    and last row, ``n`` the rows; ``key1``, ``key2`` stand for the longest part.
-    Only runs of ``min_rows`` rows or more are returned.  Events with a null entity
-    are dropped; equal (entity, no) must have been removed before.
+    and last row, ``n`` the rows; ``key1``, ``key2`` stand for the longest part
+    (null where either is null).  Only runs of ``min_rows`` rows or more are
+    returned.  Events with a null entity are dropped; equal (entity, no) must have
+    been removed before.
     """
+    has = F.col("key1").isNotNull() & F.col("key2").isNotNull()
+    long = lambda c: F.when(has, F.col(c)).otherwise(0).cast("long")
+    lasts = F.coalesce(F.col("t1") - F.col("t0"), F.lit(0.0)).cast("double")
     e = events.filter("entity is not null").select(
         F.col("entity").cast("long"), F.col("no").cast("long").alias("first_no"), F.col("no").cast("long").alias("last_no"),
         F.col("t0").cast("double"), F.col("t1").cast("double"), F.lit(1).cast("long").alias("n"),
-        F.col("key1").cast("long"), F.col("key2").cast("long"), F.lit(0).alias("open"), F.lit(0).alias("part"),
+        long("key1").alias("key1"), long("key2").alias("key2"), has.alias("has"), lasts.alias("weight"), F.lit(0).alias("open"),
     )
     place = [F.col("entity"), F.col("t0").asc_nulls_last(), F.col("first_no")]
     e = e.repartitionByRange(width(e), *place).sortWithinPartitions(*place)
 
-    def rows_of(done, is_open: int, part: int) -> list[tuple]:
-        entity, nodes = done
-        if is_open:  # raw runs: a cut stretch is agglomerated when it is whole
-            return [(entity, x.first, x.last, x.t0, x.t1, x.n, *x.key, 1, part) for x in nodes]
-        nodes = agglomerate(nodes, min_similarity, max_gap)
-        return [(entity, x.first, x.last, x.t0, x.t1, x.n, *x.key, 0, part) for x in nodes if x.n >= min_rows]
-
     def first_pass(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyspark import TaskContext
-
-        part = TaskContext.get().partitionId()
-        st, out, first = _Stretches(min_similarity, max_gap), [], True
-        for entity, node in _nodes(batches):
-            if done := st.add(entity, node):
-                # the first stretch may have begun in the partition before
-                out += rows_of(done, int(first), part)
-                first = False
-            if len(out) >= 10_000:
-                yield _frame(out)
-                out = []
-        if done := st.flush():
-            out += rows_of(done, 1, part)  # the last one may go on in the next
-        yield _frame(out)
+        p = _Pass(min_similarity, max_gap, min_rows, True)
+        for b in batches:
+            yield from p.feed(_runs(b))
+        yield from p.finish(True)
 
     def second_pass(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        st = _Stretches(min_similarity, max_gap)
+        p = _Pass(min_similarity, max_gap, min_rows, False)
         for b in batches:
-            whole = b[b["open"] == 0]
-            if len(whole):
-                yield whole
-            out = []
-            for entity, node in _nodes(iter([b[b["open"] == 1]])):
-                if done := st.add(entity, node):
-                    out += rows_of(done, 0, 0)
-            if out:
-                yield _frame(out)
-        if done := st.flush():
-            yield _frame(rows_of(done, 0, 0))
+            whole = b["open"] == 0
+            if whole.any():
+                yield b[whole]
+            yield from p.feed(_runs(b[~whole]))
+        yield from p.finish(False)
 
     one = e.mapInPandas(first_pass, _OUT)
     # cut stretches meet by entity; all other runs pass through where their number sends them
     to = F.when(F.col("open") == 1, F.col("entity")).otherwise(F.xxhash64("entity", "first_no"))
     two = one.repartition(width(e), to).sortWithinPartitions("open", *place)
-    return two.mapInPandas(second_pass, _OUT).drop("open", "part")
+    two = two.mapInPandas(second_pass, _OUT)
+    for c in ("key1", "key2"):
+        two = two.withColumn(c, F.when(F.col("has"), F.col(c)))
+    return two.drop("open", "has", "weight")
 
 
 def timeline_runs(timeline: DataFrame, min_rows: int = 2) -> DataFrame:

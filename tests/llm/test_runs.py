@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from strandline.llm import runs
@@ -41,17 +42,53 @@ def test_identical(spark, seed, min_rows):
 
 
 def brute(rows, limit, gap):
-    """Greedy agglomeration of one entity over everything."""
-    nodes = [runs.Node(no, no, t0, t1, 1, (a, b)) for _, no, t0, t1, a, b in sorted(rows, key=lambda x: (x[2], x[1]))]
+    """Greedy agglomeration of one entity over everything: lists of first, last, rows, t1, key, weight."""
+    nodes = [[no, no, 1, t0, t1, (a, b), t1 - t0] for _, no, t0, t1, a, b in sorted(rows, key=lambda x: (x[2], x[1]))]
     while True:
         best = None
         for i, (x, y) in enumerate(zip(nodes, nodes[1:])):
-            s = runs.similarity(x.key, y.key)
-            if runs.near(x, y, gap) and s >= limit and s > 0 and (best is None or s > best[0]):
+            s = runs.similarity(x[5], y[5])
+            if y[3] - x[4] < gap and s >= limit and s > 0 and (best is None or s > best[0]):
                 best = (s, i)
         if best is None:
-            return [(n.first, n.last, n.n) for n in nodes]
-        nodes[best[1]].take(nodes.pop(best[1] + 1))
+            return [tuple(n[:3]) for n in nodes]
+        x, y = nodes[best[1]], nodes.pop(best[1] + 1)
+        x[1], x[2], x[4] = y[1], x[2] + y[2], y[4]
+        if x[5] == y[5]:
+            x[6] += y[6]
+        elif y[6] > x[6]:
+            x[5], x[6] = y[5], y[6]
+
+
+def columns(n, key2=None):
+    one = np.ones(n, np.int64)
+    t = np.arange(n) * 1.0
+    return runs.Runs(one, np.arange(n), np.arange(n), t, t + 1, one, one, one if key2 is None else np.array(key2), np.ones(n, bool), one * 1.0)
+
+
+def test_every_merge_is_a_step_of_the_queue(monkeypatch):
+    steps = []
+    got = runs.agglomerate(columns(50), 1.0, 1.0, steps)
+    assert steps == [49] and (got.n.tolist(), got.last.tolist()) == ([50], [49])
+    # a stretch longer than a chunk comes out the same
+    monkeypatch.setattr(runs, "CHUNK", 7)
+    keys = [1, 1, 1, 2, 2, 5, 5, 4, 4, 4, 9, 9, 1, 2] * 4
+    whole = runs.agglomerate(columns(56, keys), 0.5, 1.0)
+    p = runs._Pass(0.5, 1.0, 1, False)
+    r = columns(56, keys)
+    got = [f for i in range(0, 56, 5) for f in p.feed(r.cut(i, i + 5))] + list(p.finish(False))
+    assert [x for f in got for x in zip(f["first_no"], f["last_no"], f["n"])] == list(zip(whole.first, whole.last, whole.n))
+
+
+def test_only_border_nodes_of_a_hot_entity_travel(spark):
+    df = spark.range(20_000).selectExpr("1L entity", "id no", "double(id) t0", "double(id) + 0.5 t1", "1L key1", "id div 7 key2").repartition(5)
+    p = runs._Pass(1.0, 1.0, 1, True)
+    n = 20_000
+    r = columns(n, np.arange(n) // 7)
+    frames = list(p.feed(r)) + list(p.finish(True))
+    assert sum((f["open"] == 1).sum() for f in frames) == 2
+    got = sorted((r.first_no, r.last_no, r.n) for r in runs.collapse(df).collect())
+    assert got == [(i, min(i + 6, 19_999), min(7, 20_000 - i)) for i in range(0, 20_000, 7)]
 
 
 def test_near_identical(spark):
