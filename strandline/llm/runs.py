@@ -66,28 +66,37 @@ class Runs:
         return parts[0] if len(parts) == 1 else Runs(*(np.concatenate(c) for c in zip(*(p.columns() for p in parts))))
 
 
-def agglomerate(r: Runs, min_similarity: float, max_gap: float, steps: list[int] | None = None) -> Runs:
-    """Merge neighbours of one stretch, most similar pair first (ties: the earlier one), until none meets both limits.
+def agglomerate(r: Runs, min_similarity: float, max_gap: float, steps: list[int] | None = None, starts: np.ndarray | None = None) -> Runs:
+    """Merge neighbours, most similar pair first (ties: the earlier one), until none meets both limits.
 
     The runs are a linked list; the priority queue holds the pairs of neighbours
-    that meet the limits.  ``steps`` counts the merges.
+    that meet the limits.  Several stretches may be given at once: no pair is made
+    across ``starts``, the first runs of stretches (by default, those after
+    :func:`borders`).  ``steps`` gets the number of merges.
     """
     size = len(r)
     if size < 2:
         return r
+    joined = np.ones(size + 1, bool)  # whether a run may be merged with what is before it
+    joined[borders(r, min_similarity, max_gap) if starts is None else starts] = False
     t0, t1, n, weight, last = r.t0.tolist(), r.t1.tolist(), r.n.tolist(), r.weight.tolist(), r.last.tolist()
-    key = [(a, b) if h else (None, None) for a, b, h in zip(r.key1.tolist(), r.key2.tolist(), r.has.tolist())]
+    key = list(zip(r.key1.tolist(), r.key2.tolist()))
     nxt, prev, alive = list(range(1, size + 1)), list(range(-1, size - 1)), [True] * size
+    may = joined.tolist()
 
-    def pair(i: int, j: int) -> tuple[float, int, int] | None:
-        if t0[j] - t1[i] < max_gap:  # a null time is NaN, and never near
+    # the first pairs: neighbours without a border have a verse each, of one chapter
+    i = joined[1:size].nonzero()[0]
+    first = 1.0 / (1 + np.abs(r.key2[i + 1] - r.key2[i]))
+    i, first = i[first >= min_similarity], first[first >= min_similarity]
+    queue = list(zip((-first).tolist(), i.tolist(), (i + 1).tolist()))
+    heapq.heapify(queue)
+
+    def offer(i: int, j: int) -> None:
+        if may[j] and t0[j] - t1[i] < max_gap:  # a null time is NaN, and never near
             s = similarity(key[i], key[j])
             if s >= min_similarity and s > 0:
-                return -s, i, j
-        return None
+                heapq.heappush(queue, (-s, i, j))
 
-    queue = [p for i in range(size - 1) if (p := pair(i, i + 1))]
-    heapq.heapify(queue)
     merged = 0
     while queue:
         s, i, j = heapq.heappop(queue)
@@ -103,18 +112,16 @@ def agglomerate(r: Runs, min_similarity: float, max_gap: float, steps: list[int]
         nxt[i] = k = nxt[j]
         if k < size:
             prev[k] = i
-            if p := pair(i, k):
-                heapq.heappush(queue, p)
-        if prev[i] >= 0 and (p := pair(prev[i], i)):
-            heapq.heappush(queue, p)
+            offer(i, k)
+        if prev[i] >= 0 and may[i]:
+            offer(prev[i], i)
     if steps is not None:
         steps.append(merged)
     at = np.array(alive).nonzero()[0]
     out = r.pick(at)
-    keep = at.tolist()
-    out.last, out.t1, out.n, out.weight = (np.array([c[i] for i in keep], o.dtype) for c, o in ((last, r.last), (t1, r.t1), (n, r.n), (weight, r.weight)))
-    out.key1 = np.array([key[i][0] or 0 for i in keep], np.int64)
-    out.key2 = np.array([key[i][1] or 0 for i in keep], np.int64)
+    new = lambda c, old: np.array(c, old.dtype)[at]
+    out.last, out.t1, out.n, out.weight = new(last, r.last), new(t1, r.t1), new(n, r.n), new(weight, r.weight)
+    out.key1, out.key2 = (np.array(c, np.int64)[at] for c in zip(*key))
     return out
 
 
@@ -169,8 +176,10 @@ class _Pass:
         length = np.diff(edges)
         single = edges[:-1][length == 1]
         done = [r.pick(single)] if len(single) and self.min_rows <= r.n[single].max() else []
-        for i in (length > 1).nonzero()[0].tolist():
-            done.append(agglomerate(r.cut(edges[i], edges[i + 1]), self.s, self.g))
+        several = length[length > 1]
+        if len(several):
+            rows = np.concatenate([np.zeros(edges[0], bool), np.repeat(length > 1, length)])
+            done.append(agglomerate(r.cut(0, edges[-1]).pick(rows), self.s, self.g, starts=np.cumsum(several) - several))
         if done:
             yield _frame(done, 0, self.min_rows)
         rest = r.cut(at[-1], len(r))
