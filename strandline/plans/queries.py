@@ -766,9 +766,28 @@ SELECT c.run_no, c.video_id FROM content c JOIN last l USING (run_no, video_id)
 WHERE l.last_run IS NULL OR c.title IS DISTINCT FROM p.title OR c.published_at IS DISTINCT FROM p.published_at OR c.duration_seconds IS DISTINCT FROM p.duration_seconds""",
 )
 def p5_found(spark, d):
+    return pending_intervals(spark, d).select("run_no", "video_id")
+
+
+def pending_intervals(spark, d):
     return incremental.pending_by_run(load(spark, d, "catalog_entries"), load(spark, d, "sync_runs"), load(spark, d, "sync_outcomes"))
 
 
+@R.add(
+    "p5_commits",
+    """WITH runs AS (SELECT DISTINCT run_no, cut_at FROM sync_runs WHERE run_no IS NOT NULL AND cut_at IS NOT NULL),
+content AS (SELECT r.run_no, d.video_id, title, published_at, duration_seconds, count(*) OVER (PARTITION BY r.run_no, d.video_id) AS hi FROM runs r JOIN catalog_entries d ON d.ingested_at <= r.cut_at WHERE d.video_id IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY r.run_no, d.video_id ORDER BY ingested_at DESC, row_id DESC) = 1),
+last AS (SELECT c.run_no, c.video_id, max(o.run_no) AS last_run FROM content c LEFT JOIN sync_outcomes o ON o.video_id = c.video_id AND o.status = 'done' AND o.run_no < c.run_no GROUP BY ALL)
+SELECT c.run_no, c.video_id, coalesce(p.hi, 0) + 1 AS lo, c.hi, 1::BIGINT AS from_no FROM content c JOIN last l USING (run_no, video_id) LEFT JOIN content p ON p.run_no = l.last_run AND p.video_id = c.video_id
+WHERE l.last_run IS NULL OR c.title IS DISTINCT FROM p.title OR c.published_at IS DISTINCT FROM p.published_at OR c.duration_seconds IS DISTINCT FROM p.duration_seconds""",
+)
+def p5_commits(spark, d):
+    """The gaps of each pending video (lo to hi) and where the interval begins that the run would commit with its output."""
+    p = pending_intervals(spark, d).select("run_no", "video_id", F.explode("gaps").alias("g"), F.element_at("commits", 1)["lo"].alias("from_no"))
+    return p.select("run_no", "video_id", "g.lo", "g.hi", "from_no")
+
+
 @R.add(
     "p6_found",
     """WITH ok AS (SELECT DISTINCT take_id, round(t0 * 1000)::BIGINT AS s, round(t1 * 1000)::BIGINT AS e FROM transcript_segments WHERE t1 > t0
