@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import datetime
 
 from strandline.operators import aligner, corpus
 from strandline.plans import pipelines, queries
@@ -37,6 +38,8 @@ def main(argv: list[str] | None = None) -> None:
     c.add_argument("--force", action="store_true")
     command("query", "name")
     a = p.parse_args(argv)
+    if getattr(a, "days", None) is not None and not a.now:
+        a.now = datetime.datetime.now(datetime.UTC).isoformat()
 
     spark = get_spark()
     t = lambda n: load(spark, a.data, n)
@@ -55,7 +58,7 @@ def main(argv: list[str] | None = None) -> None:
             d.show(truncate=False)
     elif a.command == "estimate":
         catalog = queries.catalog(spark, a.data)
-        if a.days:
+        if a.days is not None:
             from strandline.operators.rules import within_last_days
 
             catalog = within_last_days(catalog, a.now, a.days)

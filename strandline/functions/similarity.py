@@ -13,13 +13,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Characters words are spelled in: from U+4E00 up to the surrogates, more than 34,000 distinct words a pair.
+#: Characters words are spelled in: from U+4E00 up to the surrogates.  A pair with more distinct words (34,559) is refused.
 _FIRST, _MOST = 0x4E00, 0xD7FF - 0x4E00
 
 
 def spell(places: Column) -> Column:
     """Numbers of words as one character each."""
-    return F.decode(F.unhex(F.array_join(F.transform(places, lambda i: F.hex(F.least(i, F.lit(_MOST)) + _FIRST)), "")), "UTF-16BE")
+    place = lambda i: F.when(i <= _MOST, F.hex(i + _FIRST)).otherwise(F.raise_error(F.lit(f"more than {_MOST} distinct words in a text")).cast("string"))
+    return F.decode(F.unhex(F.array_join(F.transform(places, place), "")), "UTF-16BE")
 
 
 def _spell(ws: Column, vocabulary: Column) -> Column:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from strandline import constants as C
 from strandline.functions.text import py_skeleton
-from strandline.session import width
+from strandline.session import ship, width
 
 TIMELINE = (
     "take_id long, out_no int, t0 double, t1 double, surah int, ayah int, conf double, is_partial boolean, error string"
@@ -206,6 +206,7 @@ def align(segments: DataFrame, corpus: DataFrame, options: AlignOptions = AlignO
     yields one row with ``error`` set, and disturbs no other.
     """
     spark = segments.sparkSession
+    ship(spark)
     verses = corpus.select("pos", "surah", "ayah", "words").orderBy("pos").limit(options.max_verses + 1).collect()
     if len(verses) > options.max_verses:
         raise ValueError(f"the corpus has more than {options.max_verses} verses; every worker would hold it")

@@ -9,7 +9,8 @@ the blocks of one cell (fewer than 2^(CELL + 1)) whatever the number of interval
 and spreads a hot key over its cells.  The same reduction runs twice: on each
 batch where it was read, so that a key with very many intervals leaves only its
 few periods to be shuffled, and on each cell after the shuffle.  Last, the
-periods of neighbouring cells are stitched.
+periods of neighbouring cells are stitched.  The whole cells an interval goes
+through are an interval of a coarser axis, which is worked on in the same way.
 """
 
 from __future__ import annotations
@@ -20,15 +21,17 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from strandline.session import width
+from strandline.operators.ordered import Scan
+from strandline.session import ship, width
 
 #: A cell is 2^20 units: for milliseconds, 17.5 minutes.
 CELL = 20
 #: Rows reduced at once.
 ROWS = 50_000
+#: Cells are stitched in buckets of 2^4.
+BUCKET_LEVELS = 4
 
 
 def blocks_of(start: np.ndarray, end: np.ndarray, cell: int = CELL) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -105,14 +108,8 @@ def merge_cells(key: np.ndarray, cell: np.ndarray, level: np.ndarray, idx: np.nd
     return g[first], s[first], e[last]
 
 
-def reduce_batch(key: np.ndarray, start: np.ndarray, end: np.ndarray, cell: int = CELL):
-    """Intervals of any keys -> (row a key is at, cell, start, end): their periods, cut at the borders of cells."""
-    # an interval over several cells becomes a piece in each
-    first, last = start >> cell, (end - 1) >> cell
-    pieces = last - first + 1
-    row = np.repeat(np.arange(len(start)), pieces)
-    c = first[row] + (np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces))
-    s, e = np.maximum(start[row], c << cell), np.minimum(end[row], (c + 1) << cell)
+def reduce_cells(key: np.ndarray, c: np.ndarray, s: np.ndarray, e: np.ndarray, row: np.ndarray, cell: int):
+    """Intervals that lie within one cell each -> (row a key is at, cell, start, end): the periods of each (key, cell)."""
     # equal pieces are one
     code = pd.factorize(key)[0][row]
     order = np.lexsort((e, s, c, code))
@@ -130,15 +127,45 @@ def reduce_batch(key: np.ndarray, start: np.ndarray, end: np.ndarray, cell: int
     return row[at], c[at], ps, pe
 
 
+def reduce_batch(key: np.ndarray, start: np.ndarray, end: np.ndarray, cell: int = CELL):
+    """Intervals of any keys -> (row a key is at, tier, cell, start, end): their periods, cut at the borders of cells.
+
+    In tier 0 a unit is 1; in tier n it is a cell of tier n - 1.  An interval over
+    several cells becomes its parts in the first and the last of them, and the cells
+    between, which are one interval of the next tier: so it has at most two pieces
+    in each tier, however long it is.
+    """
+    out: list[list[np.ndarray]] = [[], [], [], [], []]
+    row, tier = np.arange(len(start)), 0
+    while len(row):
+        first, last = start >> cell, (end - 1) >> cell
+        one = first == last
+        edge = (first + 1) << cell, last << cell
+        c = np.concatenate([first[one], first[~one], last[~one]])
+        s = np.concatenate([start[one], start[~one], edge[1][~one]])
+        e = np.concatenate([end[one], edge[0][~one], end[~one]])
+        r = np.concatenate([row[one], row[~one], row[~one]])
+        got_row, got_c, got_s, got_e = reduce_cells(key, c, s, e, r, cell)
+        for o, x in zip(out, (got_row, np.full(len(got_row), tier), got_c, got_s, got_e)):
+            o.append(x)
+        between = first + 1 < last
+        start, end, row = (first + 1)[between], last[between], row[between]
+        tier += 1
+    return tuple(np.concatenate(o) if o else np.empty(0, np.int64) for o in out)
+
+
 def periods_in_cells(intervals: DataFrame, key: str, start: str, end: str, cell: int = CELL) -> DataFrame:
-    """Intervals [start, end) -> periods of each cell: key, cell, s, e."""
+    """Intervals [start, end) -> periods of each cell and tier: key, tier, cell, s, e (in units of the tier)."""
     kind = dict(intervals.dtypes)[key]
-    schema = f"{key} {kind}, cell long, s long, e long"
+    schema = f"{key} {kind}, tier long, cell long, s long, e long"
+    names = [key, "tier", "cell", "s", "e"]
 
-    def work(t: pa.Table, k: str, a: str, b: str) -> pa.RecordBatch:
-        row, c, s, e = reduce_batch(t[k].to_pandas().to_numpy(), t[a].to_numpy(), t[b].to_numpy(), cell)
-        keys = t[k].combine_chunks().take(pa.array(row))
-        return pa.RecordBatch.from_arrays([keys, pa.array(c), pa.array(s), pa.array(e)], names=[key, "cell", "s", "e"])
+    def batch(t: pa.Table, row: np.ndarray, *columns: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([t[key].combine_chunks().take(pa.array(row)), *map(pa.array, columns)], names=names)
+
+    def fresh(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        t = pa.Table.from_batches(held)
+        return batch(t, *reduce_batch(t[key].to_pandas().to_numpy(), t[start].to_numpy(), t[end].to_numpy(), cell))
 
     def before(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
@@ -146,29 +173,37 @@ def periods_in_cells(intervals: DataFrame, key: str, start: str, end: str, cell:
             held.append(x)
             n += x.num_rows
             if n >= ROWS:
-                yield work(pa.Table.from_batches(held), key, start, end)
+                yield fresh(held)
                 held, n = [], 0
         if n:
-            yield work(pa.Table.from_batches(held), key, start, end)
+            yield fresh(held)
+
+    def again(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        keys, tiers = t[key].to_pandas().to_numpy(), t["tier"].to_numpy()
+        for tier in np.unique(tiers):
+            at = (tiers == tier).nonzero()[0]
+            c, s, e = (t[x].to_numpy()[at] for x in ("cell", "s", "e"))
+            row, *got = reduce_cells(keys, c, s, e, at, cell)
+            yield batch(t, row, np.full(len(row), tier), *got)
 
     def after(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # rows come by key and cell; what the last cell of a chunk was reduced to goes on with the next chunk
+        # rows come by key, tier and cell; what the last cell of a chunk was reduced to goes on with the next chunk
         held: pa.Table | None = None
         for x in batches:
             t = pa.Table.from_batches([x])
             held = t if held is None else pa.concat_tables([held, t])
             if held.num_rows < ROWS:
                 continue
-            done = pa.Table.from_batches([work(held, key, "s", "e")])
-            k, c = done[key].to_pandas().to_numpy(), done["cell"].to_numpy()
-            last = (k == held[key][-1].as_py()) & (c == held["cell"][-1].as_py())
+            ends = [held[c][-1].as_py() for c in names[:3]]
+            done = pa.Table.from_batches(again(held))
+            last = np.logical_and.reduce([done[c].to_pandas().to_numpy() == v for c, v in zip(names[:3], ends)])
             yield from done.filter(pa.array(~last)).to_batches()
             held = done.filter(pa.array(last))
         if held is not None and held.num_rows:
-            yield work(held, key, "s", "e")
+            yield from again(held)
 
     local = intervals.select(key, start, end).mapInArrow(before, schema)
-    return local.repartition(width(local), key, "cell").sortWithinPartitions(key, "cell").mapInArrow(after, schema)
+    return local.repartition(width(local), key, "tier", "cell").sortWithinPartitions(key, "tier", "cell").mapInArrow(after, schema)
 
 
 def periods_and_gaps(intervals: DataFrame, key: str, start: str, end: str, cell: int = CELL) -> DataFrame:
@@ -178,14 +213,17 @@ def periods_and_gaps(intervals: DataFrame, key: str, start: str, end: str, cell:
     start >= end, don't count; an entity without others has no row.  Gaps are the
     stretches between two neighbouring periods of an entity.
     """
+    ship(intervals.sparkSession)
     ok = intervals.filter(F.col(key).isNotNull() & (F.col(start) < F.col(end)))
     p = periods_in_cells(ok.select(key, F.col(start).cast("long").alias(start), F.col(end).cast("long").alias(end)), key, start, end, cell)
-    # What is left of an entity depends on its time axis, no longer on its rows.
-    w = W.partitionBy(key).orderBy("s")
-    p = p.withColumn("new", F.coalesce(F.lag("e").over(w) < F.col("s"), F.lit(True)).cast("int"))
-    p = p.withColumn("n", F.sum("new").over(w.rowsBetween(W.unboundedPreceding, 0)))
-    p = p.groupBy(key, "n").agg(F.min("s").alias("s"), F.max("e").alias("e"))
-    p = p.withColumn("before", F.lag("e").over(W.partitionBy(key).orderBy("s")))
+    unit = F.col("tier") * cell
+    absolute = lambda c: F.call_function("shiftleft", F.col(c), unit.cast("int")).alias(c)
+    p = p.select(key, absolute("s"), absolute("e"))
+    # Periods of neighbouring cells are stitched by buckets of the axis: an entity with very many periods stays spread.
+    scan = Scan(p, [key], "s", ["e"], float(1 << (cell + BUCKET_LEVELS))).prefix(F.col("e"), "max", False, "reach")
+    begins = F.col("reach").isNull() | (F.col("reach") < F.col("s"))
+    p = scan.runs(begins, "n").result()
+    p = p.groupBy(key, "n").agg(F.min("s").alias("s"), F.max("e").alias("e"), F.max(F.when(begins, F.col("reach"))).alias("before"))
     both = F.array(
         F.struct(F.lit("period").alias("kind"), F.col("s").alias("a"), F.col("e").alias("b")),
         F.when(F.col("before").isNotNull(), F.struct(F.lit("gap").alias("kind"), F.col("before").alias("a"), F.col("s").alias("b"))),

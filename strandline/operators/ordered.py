@@ -6,17 +6,19 @@ and carries only one summary row per bucket across the cuts, so that an entity
 that holds a third of all rows is spread like any other.
 
 The rows are shuffled once, by (entity, bucket), for all steps of a scan.  What a
-step computed is kept (in memory or on disk; lost parts are recomputed), since
-its summary and its result both need it; so nothing below it runs twice.
+step computed is kept (in memory or on disk; lost parts are recomputed) until
+``session.release``, since its summary and its result both need it; so nothing
+below it runs twice.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from strandline.session import keep
+
 #: Width of a bucket on the axis (seconds, for recordings).
 BUCKET = 1800.0
 
@@ -50,7 +52,7 @@ class Scan:
         """Add struct ``name`` of ``cols`` of the row just before; null for an entity's first row."""
         here = F.struct(*cols)
         own = W.partitionBy(_G).orderBy(*self.place)
-        scanned = self.df.withColumn(name, F.lag(here).over(own)).persist(StorageLevel.MEMORY_AND_DISK)
+        scanned = keep(self.df.withColumn(name, F.lag(here).over(own)))
         across = F.lag("__end").over(W.partitionBy(_K).orderBy(_B))
         return self._carry(scanned, F.max_by(here, F.struct(*self.place)), across, name, F.coalesce)
 
@@ -63,7 +65,7 @@ class Scan:
         fold, join = {"sum": (F.sum, zero), "max": (F.max, F.greatest)}[how]
         own = W.partitionBy(_G).orderBy(*self.place).rowsBetween(W.unboundedPreceding, 0 if inclusive else -1)
         v = "__value"
-        scanned = self.df.withColumn(v, value).withColumn(name, fold(v).over(own)).persist(StorageLevel.MEMORY_AND_DISK)
+        scanned = keep(self.df.withColumn(v, value).withColumn(name, fold(v).over(own)))
         across = fold("__end").over(W.partitionBy(_K).orderBy(_B).rowsBetween(W.unboundedPreceding, -1))
         self._carry(scanned, fold(v), across, name, join)
         self.df = self.df.drop(v)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from strandline import constants as C
 from strandline.functions.text import lookup
 from strandline.functions.times import clock, day_of, pretty_date, watch_link
+from strandline.operators.ordered import Scan
 from strandline.operators.rules import reason_label, with_decision
 
 #: Confidence under which a verse is shown as doubtful.
@@ -114,13 +115,28 @@ def video_pages(recs: DataFrame, timeline: DataFrame, verses: DataFrame, chapter
     )
 
 
+def newest_first(df: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """Add ``place`` from 1 within ``key``, by rec_date descending (ISO days as texts; null and '' last), then ``order``.
+
+    Counted per month and carried over, so that a key with a third of all rows isn't numbered by one task.
+    """
+    # the first three numbers of an ISO day as one; a text of another shape has its place by its letters within the last bucket
+    day = F.when(F.col("rec_date").rlike("^\\d{4}-\\d{2}-\\d{2}$"), F.translate("rec_date", "-", "").cast("int"))
+    d = df.withColumns({"__day": -day, "__text": _descending_text(F.coalesce("rec_date", F.lit("")))})
+    return Scan(d, [key], "__day", ["__text", *order], 100.0).prefix(F.lit(1), "sum", True, "place").result().drop("__day", "__text")
+
+
+def _descending_text(c: Column) -> Column:
+    """A text that sorts the other way round: its bytes inverted, longer ones before their beginnings."""
+    return F.concat(F.translate(F.hex(c), "0123456789ABCDEF", "FEDCBA9876543210"), F.lit("G"))
+
+
 def chapter_pages(recs: DataFrame, ranges: DataFrame) -> DataFrame:
     """Each chapter's occurrences, newest first; a recording without a venue has none (it isn't given one)."""
     d = ranges.join(recs.filter("take_id is not null"), "take_id")
-    w = W.partitionBy("chapter").orderBy(F.coalesce("rec_date", F.lit("")).desc(), "video_id", "range_no")
-    return d.select(
+    return newest_first(d, "chapter", ["video_id", "range_no"]).select(
         "chapter",
-        F.row_number().over(w).alias("place"),
+        "place",
         "video_id",
         "range_no",
         "from_verse",
@@ -143,10 +159,8 @@ def chapter_index(ranges: DataFrame, chapters: DataFrame) -> DataFrame:
 
 def person_pages(recs: DataFrame) -> DataFrame:
     """Each person's recordings, newest first."""
-    w = W.partitionBy("person_key").orderBy(F.coalesce("rec_date", F.lit("")).desc(), "video_id")
-    return recs.filter("person_key <> ''").select(
-        "person_key", F.row_number().over(w).alias("place"), "video_id", "rec_date", "session"
-    )
+    d = newest_first(recs.filter("person_key <> ''"), "person_key", ["video_id"])
+    return d.select("person_key", "place", "video_id", "rec_date", "session")
 
 
 def person_index(recs: DataFrame) -> DataFrame:

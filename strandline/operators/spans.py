@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -9,6 +12,7 @@ from pyspark.sql import functions as F
 from strandline.functions.text import strip
 from strandline.functions.times import parse_clock, round_to
 from strandline.operators.ordered import Scan
+from strandline.session import ship, width
 
 #: A gap of this many seconds or more keeps equal neighbours apart.
 MERGE_GAP = 1.0
@@ -68,28 +72,39 @@ def dedupe_overlap(segments: DataFrame, key: str, order: str, text: str) -> Data
     at that end if it begins before it; and is dropped if under 0.2 s remain.
     Each row depends on the last one kept, so a ``lag`` can't say it.  But where a
     row begins at or after all earlier ends, nothing before it matters; these cuts
-    split a recording into short stretches, each folded as one sorted array.
+    split a recording into short stretches, and those into Arrow batches that are
+    folded with the last row kept as their only state.
     Rows with a null time are dropped.  Returns key, order, t0, t1, text.
     """
-    t = segments.filter("t0 is not null and t1 is not null").select(key, order, "t0", "t1", F.col(text).alias("__x"))
+    ship(segments.sparkSession)
+    kinds = dict(segments.dtypes)
+    t = segments.filter("t0 is not null and t1 is not null").select(key, order, F.col("t0").cast("double"), F.col("t1").cast("double"), F.col(text).alias("__x"))
     scan = Scan(t, [key], "t0", [order]).prefix(F.col("t1"), "max", False, "__reach")
     t = scan.runs(F.col("__reach").isNull() | (F.col("t0") >= F.col("__reach")), "__part").result()
-    row = F.struct("t0", F.col(order).alias("o"), "t1", F.col("__x").alias("x"), strip(F.coalesce("__x", F.lit(""))).alias("s"))
-    rows = t.groupBy(key, "__part").agg(F.array_sort(F.collect_list(row)).alias("__r"))
-    shape = rows.schema["__r"].dataType.elementType.simpleString()
-    start = F.array().cast(f"array<{shape}>")
-
-    def step(kept: Column, x: Column) -> Column:
-        last = F.try_element_at(kept, F.lit(-1))
-        again = (x["t0"] < last["t1"] - 0.5) & (x["s"] == last["s"])
-        t0 = F.when(x["t0"] < last["t1"], last["t1"]).otherwise(x["t0"])
-        short = x["t1"] - t0 < 0.2
-        drop = F.coalesce(again, F.lit(False)) | F.coalesce(short, F.lit(False))
-        moved = F.struct(t0.alias("t0"), x["o"].alias("o"), x["t1"].alias("t1"), x["x"].alias("x"), x["s"].alias("s"))
-        return F.when(drop, kept).otherwise(F.concat(kept, F.array(moved)))
-
-    kept = rows.select(key, F.explode(F.aggregate("__r", start, step)).alias("__k"))
-    return kept.select(key, F.col("__k.o").alias(order), "__k.t0", "__k.t1", F.col("__k.x").alias(text))
+    t = t.withColumn("__s", F.xxhash64(strip(F.coalesce("__x", F.lit("")))))
+
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        group, end, said = None, None, None
+        for b in batches:
+            at, starts = [], []
+            for i, (k, p, t0, t1, s) in enumerate(zip(b[key], b["__part"], b["t0"], b["t1"], b["__s"])):
+                if (k, p) != group:
+                    group, end = (k, p), None
+                if end is not None and t0 < end:
+                    if t0 < end - 0.5 and s == said:
+                        continue
+                    t0 = end
+                if t1 - t0 < 0.2:
+                    continue
+                end, said = t1, s
+                at.append(i)
+                starts.append(t0)
+            out = b.iloc[at][[key, order, "t0", "t1", "__x"]]
+            yield out.assign(t0=starts)
+
+    d = t.select(key, "__part", "t0", order, "t1", "__x", "__s").repartition(width(t), key, "__part").sortWithinPartitions(key, "__part", "t0", order)
+    d = d.mapInPandas(fold, f"`{key}` {kinds[key]}, `{order}` {kinds[order]}, t0 double, t1 double, __x string")
+    return d.withColumnRenamed("__x", text)
 
 
 def merge_adjacent(timeline: DataFrame, key: str = "take_id", order: str = "out_no") -> DataFrame:

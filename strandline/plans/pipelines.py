@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.operators import agreement, aligner, corpus, costs, rollups, rules, spans, sync, titles
+from strandline.operators import agreement, aligner, corpus, costs, incremental, rollups, rules, spans, sync, titles
 from strandline.sources import documents, feeds, sinks
 
 
@@ -36,20 +38,26 @@ def transcribe(windows: DataFrame, transcriber) -> DataFrame:
 
 def run_sync(
     spark: SparkSession, catalog: DataFrame, takes: DataFrame, segments: DataFrame, verses: DataFrame, out: str, *,
-    days: int | None = None, now: str | None = None, before: str | None = None, limit: int | None = None, force: bool = False,
+    days: int | None = None, now: str | None = None, before: str | None = None, limit: int | None = None, force: bool = False, run: str | None = None,
 ) -> DataFrame:
     """Filter, plan, align what isn't done, write the timelines, report.
 
     A recording whose fold fails is reported, and tried again next time; finished
-    ones are skipped.  ``limit`` 0 means none.  Returns video_id, status, coverage, error.
+    ones are skipped.  ``limit`` 0 means none, and so does ``days`` 0.  Rows and the
+    intervals of segment numbers they were made from are committed together
+    (:class:`strandline.operators.incremental.Ledger`); a recording done again
+    replaces what it had.  Returns video_id, status, coverage, error.
     """
+    if days is not None and now is None:
+        raise ValueError("days counts back from now: give both")
     c = rules.with_decision(catalog)
-    if days:
+    if days is not None:
         c = rules.within_last_days(c, now, days)
     if before:
         c = rules.before_day(c, before)
     queue = rules.queue(c, limit)
-    done = documents_done(spark, f"{out}/timeline")
+    ledger = incremental.Ledger(spark, f"{out}/ledger")
+    done = documents_done(ledger)
     todo = sync.pending(queue, done, force).join(takes.select("video_id", "take_id"), "video_id")
     mine = segments.join(todo.select("take_id"), "take_id", "left_semi")
     rows = aligner.align(mine, corpus.build_corpus(verses)).join(todo.select("video_id", "take_id"), "take_id")
@@ -58,18 +66,31 @@ def run_sync(
     texts = segments.drop("video_id").join(takes.select("video_id", "take_id"), "take_id")
     status = sync.outcomes(queue, done if not force else done.limit(0), texts, rows)
     status.write.mode("overwrite").parquet(f"{out}/last_sync")
-    rows.filter("error is null").write.mode("append").parquet(f"{out}/timeline")
+    good = rows.filter("error is null")
+    if good.limit(1).count():
+        used = mine.join(good.select("take_id").distinct(), "take_id", "left_semi").filter("seg_id is not null")
+        used = used.select(F.col("take_id").cast("string").alias("source"), F.col("seg_id").alias("lo"), F.col("seg_id").alias("hi"))
+        ledger.commit(used, good)
+    sinks.append_report(sync.report(spark.read.parquet(f"{out}/last_sync")), f"{out}/reports", run or str(uuid.uuid4()))
     return spark.read.parquet(f"{out}/last_sync")
 
 
-def documents_done(spark: SparkSession, path: str) -> DataFrame:
-    """Videos with a timeline; none where nothing was written yet."""
-    try:
-        return spark.read.parquet(path).select("video_id").distinct()
-    except Exception as e:  # noqa: BLE001
-        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return spark.createDataFrame([], "video_id string")
-        raise
+def documents_done(ledger: incremental.Ledger) -> DataFrame:
+    """Videos with a committed timeline; none where nothing was committed yet."""
+    d = ledger.outputs()
+    return ledger.spark.createDataFrame([], "video_id string") if d is None else d.select("video_id").distinct()
+
+
+def synced_timeline(spark: SparkSession, out: str) -> DataFrame | None:
+    """The timelines of all runs of :func:`run_sync` into ``out``, each recording from the last run that did it."""
+    return incremental.Ledger(spark, f"{out}/ledger").latest("video_id")
+
+
+def planned_windows(catalog: DataFrame, window: float = 600, overlap: float = 20, default: float = 900) -> DataFrame:
+    """What a transcriber is asked: video_id, window_no, window_start, window_end; unknown durations are planned with a default."""
+    w = spans.plan_windows(rules.planned_duration(F.col("duration_seconds"), default), window, overlap)
+    d = catalog.select("video_id", F.posexplode(w).alias("window_no", "w"))
+    return d.select("video_id", "window_no", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"))
 
 
 def estimate(catalog: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from strandline.functions.times import clock, day_of, parse_clock, parse_iso_dur
 from strandline.operators import agreement, aligner, corpus, costs, dyadic, incremental, rollups, rules, spans, sync, titles
 from strandline.plans.registry import Registry
 from strandline.session import shared_dir
+from strandline.sources import files
 from strandline.sources.feeds import entries_of_feed
 from strandline.streaming import sync_stream
 from strandline.tables import clean_segments, clean_timeline, current_catalog, current_takes, keep_last, load
@@ -697,6 +699,28 @@ def run_outcomes(spark, d):
     return load(spark, d, "sync_outcomes").groupBy("run_no", "status").agg(F.count_distinct("video_id").alias("videos"))
 
 
+_SCRATCH: list[str] = []
+
+
+def scratch(spark: SparkSession) -> str:
+    """A folder in the shared one for what a query writes; folders of earlier queries are deleted once there are ten."""
+    at = f"{shared_dir(spark)}/query-{uuid.uuid4().hex}"
+    _SCRATCH.append(at)
+    while len(_SCRATCH) > 10:
+        files.delete(spark, _SCRATCH.pop(0))
+    if len(_SCRATCH) == 1:
+        atexit.register(_clear, spark)
+    return at
+
+
+def _clear(spark: SparkSession) -> None:
+    try:
+        while _SCRATCH:
+            files.delete(spark, _SCRATCH.pop())
+    except Exception:  # noqa: BLE001 - the session may be gone already
+        pass
+
+
 def as_pattern(path: str) -> str:
     """A path as a pattern that only it matches: a stream takes a plain path for a folder, though a table may be one file."""
     return path.removesuffix("parquet") + "parque[t]"
@@ -705,7 +729,7 @@ def as_pattern(path: str) -> str:
 @R.add("stream_deliveries", "SELECT date_trunc('day', ingested_at)::DATE::VARCHAR AS day, feed, count(*) AS deliveries FROM catalog_entries GROUP BY ALL")
 def stream_deliveries(spark, d):
     """Deliveries per day and feed, counted by a stream over the table's files, to its end."""
-    at = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    at = scratch(spark)
     path = f"{d}/catalog_entries.parquet"
     stream = spark.readStream.schema(spark.read.parquet(path).schema).parquet(as_pattern(path))
     sync_stream.run_to_table(sync_stream.deliveries_per_day(stream), f"{at}/out", f"{at}/checkpoint")
@@ -715,9 +739,9 @@ def stream_deliveries(spark, d):
 @R.add("stream_align")
 def stream_align(spark, d):
     """The aligner as a resumable stream over the segment files."""
-    at = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    at = scratch(spark)
     sync_stream.align_new_files(spark, as_pattern(f"{d}/transcript_segments.parquet"), verse_corpus(spark, d), f"{at}/out", f"{at}/checkpoint")
-    return spark.read.parquet(f"{at}/out").drop("batch")
+    return sync_stream.aligned(spark, f"{at}/out")
 
 
 # --- takes compared -------------------------------------------------------------------------------------------------

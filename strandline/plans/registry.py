@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strandline.session import ship
+from strandline.session import release, ship
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,7 @@ class Registry:
             @functools.wraps(f)
             def run(spark: SparkSession, folder: str) -> DataFrame:
                 ship(spark)
+                release()  # what the query before kept
                 return f(spark, folder)
 
             self.queries[name] = run

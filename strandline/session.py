@@ -6,6 +6,7 @@ import os
 import tempfile
 import zipfile
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -26,6 +27,7 @@ def get_spark(app: str = "strandline", master: str | None = None, **conf: str) -
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship(spark)
     return spark
 
 
@@ -63,8 +65,21 @@ def width(df: DataFrame) -> int:
 
 
 def small_enough(df: DataFrame, most: int) -> bool:
-    """True if ``df`` has at most ``most`` rows; reads no more than ``most`` + 1 of them."""
-    return len(df.limit(most + 1).select(df.columns[0]).collect()) <= most
+    """True if ``df`` has at most ``most`` rows; counts no more than ``most`` + 1 of them."""
+    return df.select(df.columns[0]).limit(most + 1).count() <= most
+
+
+def keep(df: DataFrame) -> DataFrame:
+    """Keep what a plan uses several times, in memory or on disk, until :func:`release`; lost parts are computed again."""
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    _KEPT.append(df)
+    return df
+
+
+def release() -> None:
+    """Let go of everything kept.  Plans that are still to run compute it again."""
+    while _KEPT:
+        _KEPT.pop().unpersist()
 
 
 def ship(spark: SparkSession) -> None:
@@ -85,3 +100,4 @@ def ship(spark: SparkSession) -> None:
 
 
 _SHIPPED: set[str] = set()
+_KEPT: list[DataFrame] = []

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.functions.text import strip
 from strandline.functions.times import parse_clock
+from strandline.sources import files
 
 SEGMENT = "struct<t0:double, t1:double, arabic:string>"
 RAW_SEGMENT = "struct<start:string, end:string, arabic:string>"
@@ -30,9 +29,8 @@ def read_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def read_json_folder(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Like :func:`read_json`; a local folder that doesn't exist, or has no document, is empty."""
-    local = path.removeprefix("file://")
-    if "://" not in local and not (os.path.isdir(local) and any(x.endswith(".json") for x in os.listdir(local))):
+    """Like :func:`read_json`; a folder that doesn't exist, or has no document, is empty, on any file system."""
+    if not any(x.endswith(".json") for x in files.names(spark, path)):
         return spark.createDataFrame([], schema)
     return read_json(spark, path, schema)
 

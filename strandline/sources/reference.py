@@ -65,8 +65,10 @@ def add_translations(spark: SparkSession, path: str, sources: dict[str, tuple[st
         except Exception as e:  # noqa: BLE001 - each source for itself
             out[key] = str(e)[:300]
     if done:
-        new = spark.createDataFrame(done, "id string, name string, author string, language string")
-        new.coalesce(1).write.mode("append").parquet(f"{path}/translation_source")
+        # a row per source, in a folder of its own: adding a source again replaces it
+        for key, *rest in done:
+            new = spark.createDataFrame([tuple(rest)], "name string, author string, language string")
+            new.coalesce(1).write.mode("overwrite").parquet(f"{path}/translation_source/id={key}")
     return out
 
 
@@ -85,7 +87,7 @@ def translation(spark: SparkSession, path: str, source_id: str) -> DataFrame:
 
 def translation_label(spark: SparkSession, path: str, source_id: str) -> str:
     """Its author, or its id where it isn't known."""
-    d = spark.read.parquet(f"{path}/translation_source").filter(F.col("id") == source_id).select("author").limit(1).collect()
+    d = spark.read.parquet(f"{path}/translation_source").filter(F.col("id").cast("string") == source_id).select("author").limit(1).collect()
     return d[0].author if d and d[0].author else source_id
 
 

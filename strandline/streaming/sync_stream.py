@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.operators import aligner
+from strandline.tables import clean_segments
 
 SEGMENTS = "seg_id long, take_id long, video_id string, seg_no int, t0 double, t1 double, arabic string, loaded_at timestamp"
 
@@ -20,18 +21,27 @@ def align_new_files(
 ) -> None:
     """Align all takes of files that arrived since the last call; a take's segments must arrive in one batch.
 
-    Each batch overwrites its own folder, so a repeated batch leaves no copies.
+    Of copies of a segment the one loaded last counts, as in a batch run.  Each
+    batch overwrites its own folder, so a repeated batch leaves no copies; a take
+    that arrives again in a later batch is read from that one: see :func:`aligned`.
     """
     stream = spark.readStream.schema(SEGMENTS).parquet(segments_dir)
 
     def batch(df: DataFrame, number: int) -> None:
-        rows = aligner.align(df.dropDuplicates(["seg_id"]), corpus, options)
+        rows = aligner.align(clean_segments(df), corpus, options)
         rows.write.mode("overwrite").parquet(f"{out_dir}/batch={number}")
 
     q = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint_dir).trigger(availableNow=True).start()
     q.awaitTermination()
 
 
+def aligned(spark: SparkSession, out_dir: str) -> DataFrame:
+    """The timelines of all batches, each take from the last batch that has it."""
+    d = spark.read.parquet(out_dir)
+    last = d.groupBy("take_id").agg(F.max("batch").alias("batch"))
+    return d.join(last, ["take_id", "batch"]).drop("batch")
+
+
 def deliveries_per_day(stream: DataFrame, delay: str = "2 days") -> DataFrame:
     """Deliveries per ingestion day and feed; in append mode, rows later than ``delay`` behind the newest are dropped by the watermark."""
     e = stream.withWatermark("ingested_at", delay)

@@ -144,6 +144,28 @@ def test_sync_runs_twice(spark, tmp_path, site_tables):
     assert [(r.video_id, r.status) for r in pipelines.run_sync(spark, c, t, seg, v, out).collect()] == [("a", "done")]
     assert [(r.video_id, r.status) for r in pipelines.run_sync(spark, c, t, seg, v, out).collect()] == [("a", "skipped")]
     assert pipelines.run_sync(spark, c, t, seg, v, out, limit=0).count() == 0
+    # done again, it replaces what it had; every run leaves a report
+    n = pipelines.synced_timeline(spark, out).count()
+    assert [r.status for r in pipelines.run_sync(spark, c, t, seg, v, out, force=True).collect()] == ["done"]
+    assert pipelines.synced_timeline(spark, out).count() == n == 1
+    assert spark.read.json(f"{out}/reports").count() == 4
+    assert pipelines.run_sync(spark, c, t, seg, v, out, days=0, now="2030-01-01T00:00:00Z").count() == 0
+    with pytest.raises(ValueError):
+        pipelines.run_sync(spark, c, t, seg, v, out, days=90)
+
+
+def test_windows_of_unknown_durations(spark):
+    c = spark.createDataFrame([("a", None), ("b", 30.0)], "video_id string, duration_seconds double")
+    got = sorted(tuple(r) for r in pipelines.planned_windows(c).collect())
+    assert got == [("a", 0, 0, 600), ("a", 1, 580, 900), ("b", 0, 0, 30)]
+
+
+def test_translations_again(spark, tmp_path):
+    rows = spark.createDataFrame([(1, 1, "x")], "surah int, ayah int, text string")
+    for author in ("A", "B"):
+        assert reference.add_translations(spark, str(tmp_path), {"131": ("n", author, "en", rows), "none": ("n", "x", "en", rows.filter("false"))})["131"] is None
+    assert spark.read.parquet(f"{tmp_path}/translation_source").count() == 1
+    assert reference.translation_label(spark, str(tmp_path), "131") == "B" and reference.translation_label(spark, str(tmp_path), "none") == "none"
 
 
 def test_stream_reads_files_once(spark, tmp_path, site_tables):

@@ -148,6 +148,16 @@ def test_hot_cell_and_small_chunks(spark, monkeypatch):
         assert sorted([x.s, x.e] for x in got if x.k == k and x.kind == "period") == periods([(s, e) for q, s, e in rows if q == k])
 
 
+def test_very_long_intervals(spark):
+    rows = [("a", 0, 10**15), ("a", 10**15 + 5, 10**15 + 9), ("a", 7, 9), ("b", -(2**40) - 3, 2**41 + 1), ("b", 2**41 + 1, 2**41 + 2), ("c", 5, 6), ("c", 2**45, 2**45 + 2**30)]
+    df = spark.createDataFrame(rows, "k string, s long, e long")
+    want = [
+        ("a", "gap", 10**15, 10**15 + 5), ("a", "period", 0, 10**15), ("a", "period", 10**15 + 5, 10**15 + 9), ("b", "period", -(2**40) - 3, 2**41 + 2),
+        ("c", "gap", 6, 2**45), ("c", "period", 5, 6), ("c", "period", 2**45, 2**45 + 2**30),
+    ]
+    assert sorted(tuple(r) for r in dyadic.periods_and_gaps(df, "k", "s", "e").collect()) == want
+
+
 def test_audible(spark):
     rows = [(1, 0.0, 1.0, "a"), (1, 1.0, 2.0, "b"), (1, 3.0, 4.0, "​  "), (1, 5.0, 4.0, "c"), (1, 6.0, 7.0005, "[x]"), (2, None, 1.0, "a"), (3, 0.0, 1.0, None), (3, 0.0, 1.0, "")]
     df = spark.createDataFrame(rows, "take_id long, t0 double, t1 double, arabic string")
