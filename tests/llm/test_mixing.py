@@ -16,12 +16,17 @@ def test_inversion():
     assert mixing.uses_of(u, 1.3, 2).max() == 2
 
 
-def test_fit():
-    r = np.random.default_rng(2)
-    t, u = r.integers(0, 500, mixing.BUCKETS).astype(float), (np.arange(mixing.BUCKETS) + 0.5) / mixing.BUCKETS
-    for share in (0.1, 0.9, 1.7):
-        rate = mixing.fit_rate(t, u, share * t.sum(), 3)
-        assert (t * mixing.uses_of(u, rate, 3)).sum() == pytest.approx(share * t.sum(), rel=2e-3)
+def test_steps():
+    u = np.array([0.3, 0.9, 1e-9, 1 - 1e-9])
+    x = mixing.steps_of(u, 3)
+    assert (np.diff(x, axis=1) > 0).all()
+    for k in range(3):
+        assert mixing.at_most(k, np.exp(x[:, k])) == pytest.approx(u, abs=1e-6)
+
+
+def test_top_up():
+    assert mixing.top_up([(0.1, 1, 50), (0.2, 2, 500), (0.3, 3, 30), (0.4, 1, 50)], 85) == [1, 3]
+    assert mixing.top_up([(0.1, 1, 50)], 30) == [1] and mixing.top_up([(0.1, 1, 50)], 20) == [] and mixing.top_up([], 5) == []
 
 
 @pytest.fixture(scope="module")
@@ -39,7 +44,9 @@ def targets(spark, *rows):
 def test_shares(spark, docs):
     uses, report = mixing.mix(docs, targets(spark, ("a", 0.6, 1), ("b", 0.3, 2), ("c", 0.1, 4)))
     rep = {r.source: r for r in report.collect()}
-    assert all(r.met and abs(r.share - r.target_share) < 0.01 for r in rep.values())
+    assert all(r.feasible and r.met and abs(r.share - r.target_share) < 0.01 * r.target_share for r in rep.values())
+    # the total is that of all documents
+    assert sum(r.wanted_tokens for r in rep.values()) == pytest.approx(sum(r.tokens_available for r in rep.values()))
     got = uses.collect()
     assert len({(r.doc_id, r.use_no) for r in got}) == len(got)
     most = {"a": 1, "b": 2, "c": 4}
@@ -50,6 +57,17 @@ def test_shares(spark, docs):
     assert [tuple(r) for r in again.collect()] == [tuple(r) for r in got]
 
 
+def test_refined_histograms_and_a_feasible_mix(spark, docs, monkeypatch):
+    want = targets(spark, ("a", 0.6, 1), ("b", 0.3, 2), ("c", 0.1, 4))
+    _, report = mixing.mix(docs, want, total_tokens=20_000)
+    first = sorted(tuple(r) for r in report.collect())
+    assert all(r.met and abs(r.share - r.target_share) < 0.01 * r.target_share for r in report.collect())
+    monkeypatch.setattr(mixing, "CLOSE", 20)
+    monkeypatch.setattr(mixing, "BINS", 8)
+    _, report = mixing.mix(docs, want, total_tokens=20_000)
+    assert all(r.met for r in report.collect()) and len(first) == 3
+
+
 def test_targets_that_cannot_be_met(spark, docs):
     _, report = mixing.mix(docs, targets(spark, ("a", 0.5, 1), ("c", 0.3, 2), ("missing", 0.2, 3)), total_tokens=100_000)
     rep = {r.source: r for r in report.collect()}
