@@ -132,16 +132,17 @@ def allowed_cost(s: str) -> float:
 class Dictionary:
     """Symmetric-delete dictionary of the terms of one field."""
 
-    def __init__(self, terms: Iterable[tuple[str, str, float]]):
-        """(spelling, code, rows): how often a spelling was entered breaks ties."""
-        self.terms: dict[str, tuple[str, float]] = {}
-        for spelling, code, n in terms:
-            p = plain(spelling)
-            if p and (p not in self.terms or self.terms[p][1] < n):
-                self.terms[p] = (code, n)
+    def __init__(self, terms: Iterable[tuple]):
+        """(spelling, code, rows[, listed]): of equally near terms a listed one comes first, then the one entered more often."""
+        self.terms: dict[str, tuple[str, float, bool]] = {}
+        for spelling, code, n, *listed in terms:
+            p, is_listed = plain(spelling), not listed or listed[0]
+            if p and (p not in self.terms or (self.terms[p][2], self.terms[p][1]) < (is_listed, n)):
+                self.terms[p] = (code, n, is_listed)
         self.by_delete: dict[str, list[str]] = {}
         self.by_sound: dict[str, list[str]] = {}
         self.by_consonants: dict[str, set[str]] = {}
+        self.by_beginning: dict[str, set[str]] = {}
         for t in self.terms:
             for d in deletes(t, reach(t)):
                 self.by_delete.setdefault(d, []).append(t)
@@ -149,7 +150,10 @@ class Dictionary:
                 self.by_sound.setdefault(d, []).append(t)
             if (c := consonants(t)) != t and len(c.replace(" ", "")) > 1:
                 self.by_consonants.setdefault(c, set()).add(t)
+                for i in range(3, len(c) + 1):
+                    self.by_beginning.setdefault(c[:i], set()).add(t)
         self.most = max((len(t) for t in self.terms), default=0)
+        self.most_sound = max((len(sound(t)) for t in self.terms), default=0)
         self.longest = max((len(t.split()) for t in self.terms), default=0)
         self.closest = lru_cache(100_000)(self._closest)
 
@@ -157,32 +161,28 @@ class Dictionary:
         """(cost, code, by sound only) of the best term for a whole entry in plain form; None if none is near enough."""
         if entry in self.terms:
             return 0.0, self.terms[entry][0], False
-        if len(entry) > self.most + 4:  # too long for every term, also by sound
-            return None
+        # longer than every term by more than the edits allowed: no deletion of it is one of a term
         near: dict[str, None] = {}
-        for d in deletes(entry, reach(entry)):
-            near |= dict.fromkeys(self.by_delete.get(d, ()))
+        if len(entry) <= self.most + reach(entry):
+            for d in deletes(entry, reach(entry)):
+                near |= dict.fromkeys(self.by_delete.get(d, ()))
         heard = sound(entry)
-        for d in deletes(heard, min(reach(heard), 1)):
-            near |= dict.fromkeys(self.by_sound.get(d, ()))
+        if len(heard) <= self.most_sound + 1:
+            for d in deletes(heard, min(reach(heard), 1)):
+                near |= dict.fromkeys(self.by_sound.get(d, ()))
         found = []
         for t in near:
             written, spoken = distance(entry, t), distance(heard, sound(t)) + 0.1
             cost = min(written, spoken)
             if cost <= min(allowed_cost(entry), allowed_cost(t)):
-                found.append((cost, -self.terms[t][1], self.terms[t][0], spoken, t))
+                found.append((cost, not self.terms[t][2], -self.terms[t][1], self.terms[t][0], spoken, t))
         # an abbreviation keeps the consonants and has no vowel
         if consonants(entry) == entry and len(entry) > 1:
-            found += [(0.9, -self.terms[t][1], self.terms[t][0], 9.0, t) for t in self.by_consonants.get(entry, ())]
-            found += [
-                (1.2, -self.terms[t][1], self.terms[t][0], 9.0, t)
-                for c, ts in self.by_consonants.items()
-                if len(entry) > 2 and c.startswith(entry)
-                for t in ts
-            ]
+            found += [(0.9, not self.terms[t][2], -self.terms[t][1], self.terms[t][0], 9.0, t) for t in self.by_consonants.get(entry, ())]
+            found += [(1.2, not self.terms[t][2], -self.terms[t][1], self.terms[t][0], 9.0, t) for t in self.by_beginning.get(entry, ())]
         if not found:
             return None
-        cost, _, code, spoken, t = min(found)
+        cost, _, _, code, spoken, t = min(found)
         return cost, code, spoken <= LEARN_COST and romanises(entry, t)
 
     def lookup(self, entry: str | None) -> tuple[float, str, bool] | None:
@@ -317,7 +317,14 @@ def _terms(canon: DataFrame) -> list[tuple[str, str, str, float]]:
     rows = spelled.limit(MAX_TERMS + 1).collect()
     if len(rows) > MAX_TERMS:
         raise ValueError(f"more than {MAX_TERMS} terms; every task would hold them")
-    return [(r.field, r.s, r.code, float("inf")) for r in rows]
+    return [(r.field, r.s, r.code, 0, True) for r in rows]
+
+
+def _with_frequencies(terms: list[tuple], values: DataFrame) -> list[tuple]:
+    """Listed terms with the number of rows that are entered in just their spelling: at most one row per term is read."""
+    spelt = values.select("field", F.lower(F.trim("value")).alias("v"), "n").filter(F.col("v").isin(sorted({s.strip().lower() for _, s, *_ in terms})))
+    rows = {(r.field, r.v): r.n for r in spelt.groupBy("field", "v").agg(F.sum("n").alias("n")).collect()}
+    return [(f, s, c, rows.get((f, s.strip().lower()), 0), listed) for f, s, c, _, listed in terms]
 
 
 FIELDS = ("mosque", "prayer")
@@ -333,13 +340,14 @@ def map_values(entries: DataFrame, canon: DataFrame) -> DataFrame:
     """
     spark = entries.sparkSession
     terms = _terms(canon)
-    codes = {f: {c for g, _, c, _ in terms if g == f} for f in FIELDS}
+    codes = {f: {c for g, _, c, *_ in terms if g == f} for f in FIELDS}
     values = entries.select(F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("value")) for f in FIELDS])).alias("x"))
     values = values.select("x.field", "x.value").filter("value is not null").groupBy("field", "value").agg(F.count("*").alias("n"))
+    terms = _with_frequencies(terms, values)
 
     def matched(shared, learned: DataFrame | None = None):
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            dicts = {f: Dictionary((s, c, n) for g, s, c, n in shared.value if g == f) for f in FIELDS}
+            dicts = {f: Dictionary(t[1:] for t in shared.value if t[0] == f) for f in FIELDS}
             for b in batches:
                 hits = [dicts[f].lookup(v) for f, v in zip(b["field"], b["value"])]
                 b["code"] = [h[1] if h else UNMATCHED for h in hits]
@@ -354,7 +362,7 @@ def map_values(entries: DataFrame, canon: DataFrame) -> DataFrame:
     first = matched(spark.sparkContext.broadcast(terms))
     kinds = first.groupBy("field", "key", "code").agg(F.sum("n").alias("n"), F.max("by_sound").alias("by_sound"), F.min("cost").alias("cost"))
     heard = kinds.filter((F.col("code") != UNMATCHED) & F.col("by_sound") & (F.col("cost") > 0))
-    learned = [(r.field, r.key, r.code, r.n) for r in heard.select("field", "key", "code", "n").limit(MAX_LEARNED + 1).collect()]
+    learned = [(r.field, r.key, r.code, r.n, False) for r in heard.select("field", "key", "code", "n").limit(MAX_LEARNED + 1).collect()]
     if len(learned) > MAX_LEARNED:
         raise ValueError(f"more than {MAX_LEARNED} learned spellings; every task would hold them")
     learned.sort(key=lambda x: (-x[3], x[:3]))
@@ -390,7 +398,7 @@ def map_values(entries: DataFrame, canon: DataFrame) -> DataFrame:
     titles = titles.join(known, "title", "left").repartition(width(titles))
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        dicts = {f: Dictionary((s, c, n) for g, s, c, n in shared.value if g == f) for f in FIELDS}
+        dicts = {f: Dictionary(t[1:] for t in shared.value if t[0] == f) for f in FIELDS}
         for b in batches:
             free = [{f: set() if k is None else set(k) for f, k in zip(FIELDS, ks)} for ks in zip(*[b[f"{f}_known"] for f in FIELDS])]
             got = [split_phrase(*title_phrase(t), dicts["mosque"], dicts["prayer"], k) for t, k in zip(b["title"], free)]

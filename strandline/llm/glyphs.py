@@ -4,16 +4,19 @@ The consistent form is NFC, with plain Arabic letters and their marks, ASCII and
 é, U+0020 as the only space, and nothing invisible.
 
 A mapping is derived from rules (compatibility forms, widths, spaces, invisible
-characters) and a short list of look-alikes, checked for conflicts, and compiled
-into a transducer that goes over a text once, grapheme cluster by grapheme
-cluster (a base and what combines with it), with the longest match: the cluster
-as a whole first, else its base and its marks.  The result of a cluster is
-composed at once, so accents before or after a replaced letter come out right.
+characters) over all of Unicode and a short list of look-alikes, and checked for
+conflicts.  To it come sequences: every base with a mark that composes with it,
+also where the base is a look-alike, bases with two marks of which one composes,
+and marks in another than their canonical order, each with its composed result.
+All keys are compiled into a trie.  A transducer goes over a text once, grapheme
+cluster by grapheme cluster (a base and what combines with it), and takes the
+longest key at each place; invisible characters inside a key don't end it.
 """
 
 from __future__ import annotations
 
 import functools
+import itertools
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -47,6 +50,9 @@ PUNCTUATION = {
 #: Farsi yeh looks like yeh where it is joined to a next letter, and like alef maksura elsewhere.
 FARSI_YEH, YEH, MAKSURA = "\u06CC", "\u064A", "\u0649"
 
+#: Where characters with a category or decomposition of their own are: the planes between hold ideographs only, or nothing.
+ASSIGNED = (*range(0x7F, 0x30000), *range(0xE0000, 0xE1000))
+
 ALLOWED = r"\x20-\x7E\u00E9\u0621-\u063A\u0640-\u0655\u0670"
 #: Marks that stay: vowel signs, shadda, sukun, maddah, hamza above and below, superscript alef.
 MARKS = r"\u064B-\u0655\u0670"
@@ -72,7 +78,7 @@ def compile_table() -> dict[str, str]:
         if table.setdefault(ch, to) != to:
             raise ValueError(f"U+{ord(ch):04X}: {table[ch]!r} and {to!r} ({rule})")
 
-    for at in (*range(0x20), *range(0x7F, 0x3100), *range(0xFB50, 0x10000), *range(0x1D400, 0x1D800), *range(0xE0000, 0xE01F0)):
+    for at in (*range(0x20), *ASSIGNED):
         ch = chr(at)
         kind = unicodedata.category(ch)
         if kind in ("Zs", "Zl", "Zp") or ch in "\t\n\r\x0b\x0c\x85":
@@ -83,9 +89,9 @@ def compile_table() -> dict[str, str]:
             put(ch, str(unicodedata.digit(ch)), "digits")
     for ch, to in (*LATIN_LOOKALIKES.items(), *ARABIC_LOOKALIKES.items(), *PUNCTUATION.items()):
         put(ch, to, "look-alikes")
-    for at in (*range(0xA1, 0x3100), *range(0xFB50, 0x10000), *range(0x1D400, 0x1D800)):
+    for at in ASSIGNED:
         ch = chr(at)
-        if ch in table or unicodedata.category(ch) in ("Cn", "Co", "Cs") or not unicodedata.decomposition(ch).startswith("<"):
+        if ch in table or not unicodedata.decomposition(ch).startswith("<"):
             continue
         # a mark's isolated form decomposes to a space (or tatweel) with it: the mark is meant
         to = unicodedata.normalize("NFKC", ch)
@@ -99,6 +105,44 @@ def compile_table() -> dict[str, str]:
     return table
 
 
+@functools.cache
+def compile_keys() -> dict[str, str]:
+    """All keys of the transducer: single characters and sequences -> their consistent form; a conflict raises."""
+    keys = dict(compile_table())
+    alike: dict[str, list[str]] = {}
+    for ch, to in keys.items():
+        alike.setdefault(to, []).append(ch)
+
+    def put(key: str) -> None:
+        to = unicodedata.normalize("NFC", "".join(keys.get(x, x) for x in key))
+        to = "".join(keys.get(x, x) for x in to)
+        if keys.setdefault(key, to) != to:
+            raise ValueError(f"{key!r}: {keys[key]!r} and {to!r}")
+
+    marks = [chr(i) for i in (*range(0x064B, 0x0656), 0x0670)]
+    bases = set()
+    for at in ASSIGNED:
+        ch = chr(at)
+        parts = unicodedata.decomposition(ch)
+        if not parts or parts.startswith("<"):
+            continue
+        pair = unicodedata.normalize("NFD", ch)
+        if len(pair) == 2 and unicodedata.normalize("NFC", pair) == ch and unicodedata.combining(pair[1]):
+            for base in (pair[0], *(x for x in alike.get(pair[0], ()) if len(x) == 1)):
+                put(base + pair[1])
+                if pair[1] in marks:
+                    bases.add(base)
+    for a, b in itertools.permutations(marks, 2):
+        if unicodedata.normalize("NFC", a + b) != a + b:
+            put(a + b)
+        for base in bases:
+            put(base + a + b)
+    for three in itertools.permutations(marks, 3):
+        if unicodedata.normalize("NFC", "".join(three)) != "".join(three):
+            put("".join(three))
+    return keys
+
+
 class Transducer:
     """One pass over a text; clusters seen before are looked up whole."""
 
@@ -106,6 +150,12 @@ class Transducer:
 
     def __init__(self) -> None:
         self.table = compile_table()
+        self.trie: dict = {}
+        for key, to in compile_keys().items():
+            node = self.trie
+            for c in key:
+                node = node.setdefault(c, {})
+            node[""] = to
         gone = "".join(re.escape(c) for c, to in self.table.items() if to == "")
         mark = r"\u0300-\u036F\u0610-\u061A\u064B-\u065F\u0670\u06D6-\u06DC\u06DF-\u06E4\u06E7\u06E8\u06EA-\u06ED\u08D3-\u08FF\u20D0-\u20FF\uFE20-\uFE2F"
         # a base with all that combines with it; Farsi yeh also looks at the letter after it
@@ -114,9 +164,29 @@ class Transducer:
         self.letter = re.compile(r"[\u0620-\u064A\u066E-\u06D3\uFB50-\uFDFF\uFE80-\uFEFC]")
         self.known: dict[str, str] = {}
 
-    def _compose(self, cluster: str) -> str:
-        mapped = "".join(self.table.get(c, c) for c in cluster)
-        return unicodedata.normalize("NFC", mapped)
+    def _run(self, cluster: str) -> str:
+        """The transducer over one cluster: the longest key at each place; what is in no key stays."""
+        out, i, n, vanish = [], 0, len(cluster), self.table
+        while i < n:
+            node, j, best, end = self.trie, i, None, i + 1
+            while j < n:
+                c = cluster[j]
+                if j > i and c not in node and vanish.get(c) == "":
+                    j += 1  # invisible: the key goes on behind it
+                    continue
+                node = node.get(c)
+                if node is None:
+                    break
+                j += 1
+                if "" in node:
+                    best, end = node[""], j
+            if best is None:
+                best = cluster[i]
+            out.append(best)
+            i = end
+        done = "".join(out)
+        # more marks on a base than any key has
+        return done if unicodedata.is_normalized("NFC", done) else unicodedata.normalize("NFC", done)
 
     def form(self, text: str) -> str:
         """The consistent form.  Characters without a known look-alike inside it stay, composed."""
@@ -131,7 +201,7 @@ class Transducer:
                 c = (YEH if joined else MAKSURA) + c[1:]
             to = known.get(c)
             if to is None:
-                to = self._compose(c)
+                to = self._run(c)
                 if len(known) < self.MOST:
                     known[c] = to
             out.append(to)

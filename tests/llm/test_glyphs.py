@@ -46,3 +46,19 @@ def test_over_spark(spark):
     got = {r.id: r.f for r in glyphs.add_consistent(df, "rec_key", "f").collect()}
     assert got[1] == got[2] == "لا" and got[3] is None and got[4] == "" and got[6] == "" and got[7].endswith("e")
     assert glyphs.inconsistent(df.filter("false"), "id", "rec_key").count() == 0
+
+
+def test_sequences_are_keys():
+    keys = glyphs.compile_keys()
+    assert sum(len(k) > 1 for k in keys) > 1000 and max(map(len, keys)) == 3
+    t = glyphs.Transducer()
+    assert t.form("㎞") == "km" and t.form("é") == "é" and t.form("ａｂ") == "ab"
+    # a mark on a look-alike, behind an invisible character, and behind another mark; marks out of order
+    assert t.form("е́") == "é" and t.form("ا​ٓ") == "آ" and t.form("آَ") == "آَ"
+    assert t.form("بَّ") == "بَّ"
+    import unicodedata
+
+    for k, to in keys.items():
+        assert unicodedata.is_normalized("NFC", to)
+        # the longest key is what mapping and composing give
+        assert t._run(k) == to or k == glyphs.FARSI_YEH
