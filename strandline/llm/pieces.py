@@ -5,9 +5,9 @@ chain.  A recording is worked on in ranges of its time axis, none of which needs
 the others: for a range, with a halo of one piece beyond its end, a worker makes
 a boundary table: for each second a piece may begin at in the range's entry
 zone, at which second the first piece beyond the range begins, and how many
-pieces begin before.  Chaining the tables (a few numbers per range) tells where
-each range is really entered; prefix sums of the counts give the piece numbers;
-then each range emits its pieces by itself.
+pieces begin before.  Tables of neighbouring ranges are put together to one, as a
+tree, and going down it tells where each range is really entered; prefix sums of
+the counts give the piece numbers; then each range emits its pieces by itself.
 """
 
 from __future__ import annotations
@@ -23,7 +23,9 @@ from strandline.session import width as tasks
 from strandline.tables import current_catalog
 
 #: Seconds of a range; it must be longer than a piece.
-RANGE = 7200
+RANGE = 1800
+#: Tables that are put together at once.
+FAN = 64
 
 
 def ends_of(lo: int, hi: int, pauses: np.ndarray, limit: int, overlap: int) -> np.ndarray:
@@ -37,19 +39,36 @@ def ends_of(lo: int, hi: int, pauses: np.ndarray, limit: int, overlap: int) -> n
     return np.where(at > start + overlap, at, start + limit)
 
 
-def table_of(lo: int, hi: int, end: int, pauses: np.ndarray, limit: int, overlap: int) -> tuple[list[int], list[int]]:
-    """Boundary table of a range: for each entry second, the start beyond it (-1: the recording ended) and the pieces begun."""
+def table_of(lo: int, hi: int, end: int, pauses: np.ndarray, limit: int, overlap: int) -> tuple[np.ndarray, np.ndarray]:
+    """Boundary table of a range: for each entry second, the start beyond it (-1: the recording ended) and the pieces begun.
+
+    The range at 0 is entered at 0 only.  The starts inside a range are a list of
+    links, each to the next start; links are doubled until all lead out of it.
+    """
     stop = min(hi, end)
-    ends = ends_of(lo, stop + 1, np.append(pauses, []).astype(np.int64), limit, overlap)
-    out, n = {}, {}
-    for s in range(stop - 1, lo - 1, -1):
-        if end - s <= limit:
-            out[s], n[s] = -1, 1
-        else:
-            nxt = int(ends[s - lo]) - overlap
-            out[s], n[s] = (nxt, 1) if nxt >= hi else (out[nxt], n[nxt] + 1)
-    entry = range(lo, min(lo + limit, stop))
-    return [out[s] for s in entry], [n[s] for s in entry]
+    start = np.arange(lo, stop)
+    out = ends_of(lo, stop, pauses, limit, overlap) - overlap
+    out[end - start <= limit] = -1
+    n = np.ones(len(out), np.int64)
+    while (inside := (out >= 0) & (out < hi)).any():
+        at = out[inside] - lo
+        n_new, out_new = n[at], out[at]
+        n[inside] += n_new
+        out[inside] = out_new
+    entries = 1 if lo == 0 else limit
+    return out[:entries], n[:entries]
+
+
+def composed(tables: list[tuple[int, np.ndarray, np.ndarray]], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Tables (lo, exits, counts) of ranges of ``width`` in a row -> the one table of all of them."""
+    lo, out, n = tables[0][0], tables[0][1].copy(), tables[0][2].copy()
+    for at, exits, counts in tables[1:]:
+        # a piece is shorter than a range, so none is passed over
+        inside = (out >= at) & (out < at + width)
+        i = out[inside] - at
+        n[inside] += counts[i]
+        out[inside] = exits[i]
+    return out, n
 
 
 def cut(lo: int, hi: int, end: int, pauses: np.ndarray, limit: int, overlap: int, start: int) -> list[tuple[int, int]]:
@@ -66,6 +85,46 @@ def cut(lo: int, hi: int, end: int, pauses: np.ndarray, limit: int, overlap: int
     return out
 
 
+def _sorted(pauses) -> np.ndarray:
+    return np.array([], np.int64) if pauses is None else np.sort(np.asarray(pauses, np.int64))
+
+
+def _grouped(tables: DataFrame, width: int) -> DataFrame:
+    """The tables of up to FAN ranges in a row: video_id, no (of the group), chain."""
+    return tables.groupBy("video_id", F.floor(F.col("no") / FAN).cast("int").alias("no")).agg(F.array_sort(F.collect_list(F.struct("no", "exits", "counts"))).alias("chain"))
+
+
+def _chain(links, width: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    return [(x["no"] * width, np.array(x["exits"], np.int64), np.array(x["counts"], np.int64)) for x in links]
+
+
+def _compose(width: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            got = [composed(_chain(links, width), width) for links in b["chain"]]
+            yield pd.DataFrame({"video_id": b["video_id"], "no": b["no"], "exits": [g[0] for g in got], "counts": [g[1] for g in got]})
+
+    return run
+
+
+def _enter(width: int):
+    """Where each member of a group is entered, and how many pieces begin before (prefix sums of the counts)."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = []
+            for v, links, start, before in zip(b["video_id"], b["chain"], b["start"], b["before"]):
+                for x in links:
+                    lo = x["no"] * width
+                    if start < lo or start >= lo + width:  # the recording ended, or an entry beyond
+                        continue
+                    rows.append((v, x["no"], start, before))
+                    start, before = x["exits"][start - lo], before + x["counts"][start - lo]
+            yield pd.DataFrame(rows, columns=["video_id", "no", "start", "before"])
+
+    return run
+
+
 def split_recordings(recordings: DataFrame, pauses: DataFrame, limit: int = 600, overlap: int = 20, width: int = RANGE) -> DataFrame:
     """(video_id, duration_seconds), (video_id, at_s) -> video_id, piece_no, start_s, end_s of recordings above ``limit``.
 
@@ -89,52 +148,37 @@ def split_recordings(recordings: DataFrame, pauses: DataFrame, limit: int = 600,
 
     def tables(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            got = []
-            for no, end, ps in zip(b["no"], b["end"], b["pauses"]):
-                ps = np.array([], np.int64) if ps is None else np.sort(np.asarray(ps, np.int64))
-                if end <= width:  # the only range is entered at 0
-                    got.append(([], []))
-                else:
-                    got.append(table_of(no * width, (no + 1) * width, end, ps, limit, overlap))
-            b["exits"], b["counts"] = [g[0] for g in got], [g[1] for g in got]
-            yield b
-
-    base = "video_id string, no int, end int, pauses array<int>"
+            got = [table_of(no * width, (no + 1) * width, end, _sorted(ps), limit, overlap) for no, end, ps in zip(b["no"], b["end"], b["pauses"])]
+            yield pd.DataFrame({"video_id": b["video_id"], "no": b["no"], "exits": [g[0] for g in got], "counts": [g[1] for g in got]})
+
     r = r.select("video_id", "no", "end", "pauses")
     r = r.repartition(tasks(r), "video_id", "no")
-    # recordings of one range are ready; the tables of the others are chained per recording
-    t = r.filter(F.col("end") > width).mapInPandas(tables, f"{base}, exits array<int>, counts array<int>")
-    t = t.groupBy("video_id").agg(F.array_sort(F.collect_list(F.struct("no", "exits", "counts"))).alias("chain"))
-
-    def chain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            rows = []
-            for v, links in zip(b["video_id"], b["chain"]):
-                start, before = 0, 0
-                for link in links:
-                    lo = link["no"] * width
-                    if start < 0:
-                        break
-                    if start >= lo + width:  # can't be: a range is longer than a piece
-                        continue
-                    rows.append((v, link["no"], start, before))
-                    before += link["counts"][start - lo]
-                    start = link["exits"][start - lo]
-            yield pd.DataFrame(rows, columns=["video_id", "no", "start", "before"])
-
-    entered = t.mapInPandas(chain, "video_id string, no int, start int, before int")
-    entries = r.join(entered, ["video_id", "no"], "left").filter((F.col("end") <= width) | F.col("start").isNotNull())
+    schema = "video_id string, no int, exits array<long>, counts array<long>"
+    levels = [r.mapInPandas(tables, schema)]
+    # groups of tables become one, level by level, until a recording has one group: so no task holds more than FAN tables of it
+    longest = (long.agg(F.max("end")).first()[0] or 0) / width
+    while longest > FAN ** len(levels):
+        levels.append(_grouped(levels[-1], width * FAN ** (len(levels) - 1)).mapInPandas(_compose(width * FAN ** (len(levels) - 1)), schema))
+    # and the other way round: where a group is entered tells where its members are
+    entered = None
+    for depth in range(len(levels) - 1, -1, -1):
+        w = width * FAN**depth
+        groups = _grouped(levels[depth], w)
+        if entered is None:
+            groups = groups.withColumns({"start": F.lit(0).cast("long"), "before": F.lit(0).cast("long")})
+        else:
+            groups = groups.join(entered, ["video_id", "no"])
+        entered = groups.mapInPandas(_enter(w), "video_id string, no int, start long, before long")
+    entries = r.join(entered, ["video_id", "no"])
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
             for v, no, end, ps, start, before in zip(*(b[c] for c in ("video_id", "no", "end", "pauses", "start", "before"))):
-                ps = np.array([], np.int64) if ps is None else np.sort(np.asarray(ps, np.int64))
-                got = cut(no * width, (no + 1) * width, end, ps, limit, overlap, int(start))
+                got = cut(no * width, (no + 1) * width, end, _sorted(ps), limit, overlap, int(start))
                 rows += [(v, int(before) + i + 1, s, e) for i, (s, e) in enumerate(got)]
             yield pd.DataFrame(rows, columns=["video_id", "piece_no", "start_s", "end_s"])
 
-    entries = entries.withColumns({"start": F.coalesce("start", F.lit(0)), "before": F.coalesce("before", F.lit(0))})
     return entries.select("video_id", "no", "end", "pauses", "start", "before").mapInPandas(
         emit, "video_id string, piece_no int, start_s int, end_s int"
     )

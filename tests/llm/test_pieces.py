@@ -16,8 +16,9 @@ def plain(d, ps, limit, overlap):
     return [*out, (s, end)]
 
 
-@pytest.mark.parametrize("seed,width", [(1, 7200), (2, 700), (3, 1300)])
-def test_like_plain(spark, seed, width):
+@pytest.mark.parametrize("seed,width,fan", [(1, 7200, 64), (2, 700, 3), (3, 1800, 4)])
+def test_like_plain(spark, seed, width, fan, monkeypatch):
+    monkeypatch.setattr(pieces, "FAN", fan)
     r = random.Random(seed)
     rec = [(f"v{i}", r.choice([None, 0.0, 600.0, 600.5, 601.0, 1180.0, 7200.0, 7201.0, r.uniform(600, 30000)])) for i in range(60)]
     pauses = [(v, r.randrange(0, 31000)) for v, d in rec if d and r.random() < 0.8 for _ in range(r.choice([1, 20, 200]))]
