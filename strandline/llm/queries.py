@@ -84,8 +84,8 @@ def p7_found(spark, d):
 
 @R.add("p8_containers")
 def p8_containers(spark, d):
-    """All documents in containers of the middle size."""
-    return packing.fill_containers(load(spark, d, "documents"), load(spark, d, "container_sizes"))
+    """All documents in containers of the middle size, larger ones in the larger size; loss-bearing tokens limited too."""
+    return packing.fill_containers(load(spark, d, "documents"), load(spark, d, "container_sizes"), max_loss_share=packing.LOSS_SHARE)
 
 
 @R.add("p8_fill")
