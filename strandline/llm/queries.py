@@ -106,7 +106,8 @@ def p9_shares(spark, d):
 
 def _subjects(spark, d):
     docs = load(spark, d, "documents")
-    return docs, subjects.assign(docs, subjects.train(docs, load(spark, d, "subject_labels"), load(spark, d, "subjects")))
+    features = subjects.featurise(docs)
+    return docs, subjects.assign(features, subjects.train(features, load(spark, d, "subject_labels"), load(spark, d, "subjects")))
 
 
 @R.add("p10_found")

@@ -8,9 +8,9 @@ refined by expectation-maximization over all documents: labelled ones within
 their labels, the others freely at a lower weight.  A subject that a single
 sentence of a document looks like, against its labels or among many others,
 teaches ``passing``.
-Last, for each document and subject, one logistic model, fitted on the labelled
-documents, turns how much of the document is about the subject into a posterior,
-independent of the other subjects.
+Last, for each subject, a logistic model, fitted on the labelled documents and held
+near a common one, turns how much of a document is about the subject into a
+posterior, independent of the other subjects.
 
 All statistics are taken over whole texts of all documents; only the labelled
 documents used are bounded (``Options.max_labelled``).  Features are hashed, so
@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import html
 import re
+import warnings
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -42,12 +43,17 @@ N_FEATURES = 6
 
 @dataclass(frozen=True)
 class Options:
-    """Parameters; ``max_labelled`` labelled documents, chosen by a hash of their id, fit the model."""
+    """Parameters; ``max_labelled`` labelled documents, chosen by a hash of their id, fit the model.
+
+    EM goes on until less than ``tolerance`` of all counts move between classes; ``max_rounds`` only guards
+    against counts that swing for ever, with a warning.
+    """
 
     bits: int = 17
     max_labelled: int = 20_000
-    taught_rounds: int = 4
-    rounds: int = 2
+    max_rounds: int = 30
+    tolerance: float = 0.02
+    calibration_ridge: float = 10.0
     unlabelled_weight: float = 0.5
     alpha: float = 0.1
     threshold: float = 0.5
@@ -84,19 +90,37 @@ class Reader:
         pairs = (w[:-1] * 0x9E3779B1 + w[1:] * 0x85EBCA6B) >> 13
         return np.concatenate([w, pairs]) & self.mask
 
-    def batch(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(features, sentence number of each feature, document number of each sentence) of distinct sentences with words."""
-        ids, doc = [], []
-        for d, text in enumerate(texts):
-            for s in dict.fromkeys(sentences(text)):
-                f = self.of(_NUMBER.sub("", s))  # numbers are no features
-                if len(f):
-                    ids.append(f)
-                    doc.append(d)
-        if not ids:
-            return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
-        sent = np.repeat(np.arange(len(ids)), [len(f) for f in ids])
-        return np.concatenate(ids), sent, np.array(doc, np.int64)
+    def document(self, text: str | None) -> tuple[np.ndarray, list[int]]:
+        """The features of all distinct sentences with words, and how many each sentence has."""
+        found = [f for s in dict.fromkeys(sentences(text)) if len(f := self.of(_NUMBER.sub("", s)))]  # numbers are no features
+        return (np.concatenate(found) if found else np.empty(0, np.int64)), [len(f) for f in found]
+
+
+def featurise(documents: DataFrame, options: Options = Options()) -> DataFrame:
+    """(doc_id, text) -> doc_id, ids, lens: the hashed features of each whole text, and how many each of its sentences has.
+
+    Parting texts is most of the work, so it is done once, for training and
+    assignment; the result is written to the shared folder.  Null ids are dropped.
+    """
+    bits = options.bits
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        reader = Reader(bits)
+        for b in batches:
+            got = [reader.document(t) for t in b["text"]]
+            yield pd.DataFrame({"doc_id": b["doc_id"], "ids": [g[0].astype(np.int32) for g in got], "lens": [np.array(g[1], np.int32) for g in got]})
+
+    d = documents.select("doc_id", "text").filter("doc_id is not null")
+    return cut(d.mapInPandas(run, "doc_id long, ids array<int>, lens array<int>"))
+
+
+def _read(b: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(features, sentence number of each feature, document number of each sentence) of a batch of featurised documents."""
+    per_doc = [len(x) for x in b["lens"]]
+    if not sum(per_doc):
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
+    lens = np.concatenate(list(b["lens"])).astype(np.int64)
+    return np.concatenate(list(b["ids"])).astype(np.int64), np.repeat(np.arange(len(lens)), lens), np.repeat(np.arange(len(b)), per_doc)
 
 
 def complement_weights(counts: np.ndarray, alpha: float) -> np.ndarray:
@@ -176,12 +200,13 @@ def document_features(p: np.ndarray, doc: np.ndarray, n_docs: int, k: int) -> np
     return out
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 50) -> np.ndarray:
-    """Newton's method with a small ridge; ``y`` may be a share between 0 and 1."""
-    b = np.zeros(x.shape[1])
+def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 50, near: np.ndarray | None = None) -> np.ndarray:
+    """Newton's method with a ridge towards ``near`` (0 by default); ``y`` may be a share between 0 and 1."""
+    near = np.zeros(x.shape[1]) if near is None else near
+    b = near.copy()
     for _ in range(steps):
         q = 1 / (1 + np.exp(-np.clip(x @ b, -30, 30)))
-        g = x.T @ (q - y) + ridge * b
+        g = x.T @ (q - y) + ridge * (b - near)
         h = (x * (q * (1 - q))[:, None]).T @ x + ridge * np.eye(len(b))
         step = np.linalg.solve(h, g)
         b -= step
@@ -196,18 +221,19 @@ class Model:
     def __init__(self, subjects: list[str], weights: np.ndarray, calibration: np.ndarray, options: Options):
         self.subjects, self.weights, self.calibration, self.options = subjects, weights, calibration, options
 
-    def predict(self, texts: list[str | None], reader: Reader) -> np.ndarray:
-        """Posterior per document and subject."""
+    def predict(self, b: pd.DataFrame) -> np.ndarray:
+        """Posterior per featurised document and subject."""
         k = len(self.subjects)
-        ids, sent, doc = reader.batch(texts)
+        ids, sent, doc = _read(b)
+        texts = range(len(b))
         p = posteriors(sentence_scores(self.weights, ids, sent, len(doc))) if len(doc) else np.zeros((0, k + 2))
         x = document_features(p, doc, len(texts), k)
-        q = 1 / (1 + np.exp(-np.clip(x @ self.calibration, -30, 30)))
+        q = 1 / (1 + np.exp(-np.clip(np.einsum("dsf,sf->ds", x, self.calibration), -30, 30)))
         q[np.bincount(doc, minlength=len(texts)) == 0] = 0.0
         return q
 
 
-_CHUNK = 250
+_CHUNK = 1000
 
 
 def _chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -224,10 +250,10 @@ def _label_rows(labels: DataFrame, o: Options) -> DataFrame:
     return d.orderBy(h, "doc_id").limit(o.max_labelled)
 
 
-def train(documents: DataFrame, labels: DataFrame, subjects: DataFrame, options: Options = Options()) -> Model:
-    """Fit the model.  Documents without text teach nothing; labels of unknown subjects and unknown documents are ignored."""
+def train(features: DataFrame, labels: DataFrame, subjects: DataFrame, options: Options = Options()) -> Model:
+    """Fit the model to featurised documents.  Those without text teach nothing; labels of unknown subjects and unknown documents are ignored."""
     o = options
-    spark = documents.sparkSession
+    spark = features.sparkSession
     names = [r.subject for r in subjects.select("subject").filter("subject is not null").distinct().orderBy("subject").limit(o.max_subjects + 1).collect()]
     if len(names) > o.max_subjects:
         raise ValueError(f"more than {o.max_subjects} subjects")
@@ -235,7 +261,7 @@ def train(documents: DataFrame, labels: DataFrame, subjects: DataFrame, options:
     at = {s: i for i, s in enumerate(names)}
     # at most max_labelled ids with their subjects: they go to the texts, the texts stay where they are read
     known = F.broadcast(_label_rows(labels, o))
-    docs = documents.filter("text is not null").select("doc_id", "text")
+    docs = features.filter("size(lens) > 0")
     taught = cut(docs.join(known, "doc_id"))
     everything = docs.join(known, "doc_id", "left")
 
@@ -251,20 +277,20 @@ def train(documents: DataFrame, labels: DataFrame, subjects: DataFrame, options:
     columns = ", ".join(f"c{i} double" for i in range(k + 2))
 
     def count(df: DataFrame, w: np.ndarray | None) -> np.ndarray:
-        shared = spark.sparkContext.broadcast(w)
+        shared = spark.sparkContext.broadcast(None if w is None else w.astype(np.float32))
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            reader = Reader(o.bits)
             total = np.zeros((size, k + 2))
             for b in _chunks(batches):
-                read = reader.batch(b["text"].tolist())
+                read = _read(b)
                 ids, sent, doc = read
                 if not len(doc):
                     continue
                 p, weight = expect(shared.value, read, [flags(g) for g in b["given"]], k, o)
-                p = p * weight[:, None]
-                # only classes that matter: a sentence rarely has more than one
-                at_s, at_c = (p > 1e-4).nonzero()
+                # a sentence rarely has more than one class; what the others have together goes to those that are left
+                p = np.where(p > 1e-4, p, 0)
+                p = p / np.maximum(p.sum(1, keepdims=True), 1e-300) * weight[:, None]
+                at_s, at_c = p.nonzero()
                 starts = np.searchsorted(sent, np.arange(len(doc) + 1))
                 length = (starts[1:] - starts[:-1])[at_s]
                 cells = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length) + np.repeat(starts[at_s], length)
@@ -275,57 +301,65 @@ def train(documents: DataFrame, labels: DataFrame, subjects: DataFrame, options:
             f.insert(0, "feature", used)
             yield f
 
-        sums = df.select("text", "given").mapInPandas(run, f"feature long, {columns}")
+        sums = df.select("ids", "lens", "given").mapInPandas(run, f"feature long, {columns}")
         sums = sums.groupBy("feature").agg(*[F.sum(f"c{i}").alias(f"c{i}") for i in range(k + 2)])
         got = sums.toPandas()  # at most 2^bits rows
-        shared.unpersist()
+        shared.destroy()
         out = np.zeros((size, k + 2))
         out[got["feature"].to_numpy(np.int64)] = got[[f"c{i}" for i in range(k + 2)]].to_numpy()
         return out
 
     w = complement_weights(count(taught, None), o.alpha)
     w[:, k + 1] = 0.0  # nothing is known of passing sentences yet: no evidence for them
-    for _ in range(o.taught_rounds):
-        w = complement_weights(count(taught, w), o.alpha)
-    for _ in range(o.rounds):
-        w = complement_weights(count(everything, w), o.alpha)
+    for df in (taught, everything):
+        before, moved = None, 1.0
+        for _ in range(o.max_rounds):
+            now = count(df, w)
+            w = complement_weights(now, o.alpha)
+            moved = 1.0 if before is None else np.abs(now - before).sum() / max(2 * now.sum(), 1e-300)
+            before = now
+            if moved < o.tolerance:
+                break
+        else:
+            warnings.warn(f"EM: {moved:.3f} of the counts still move after {o.max_rounds} rounds", stacklevel=2)
 
     # calibration on the labelled documents, one row of numbers per document and subject
     shared = spark.sparkContext.broadcast(w)
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        reader = Reader(o.bits)
         for b in _chunks(batches):
-            ids, sent, doc = reader.batch(b["text"].tolist())
+            ids, sent, doc = _read(b)
             p = posteriors(sentence_scores(shared.value, ids, sent, len(doc))) if len(doc) else np.zeros((0, k + 2))
             x = document_features(p, doc, len(b), k).reshape(-1, N_FEATURES)
             f = pd.DataFrame(x, columns=[f"x{i}" for i in range(N_FEATURES)])
+            f["subject"] = np.tile(np.arange(k), len(b))
             f["y"] = np.concatenate([flags(g) for g in b["given"]]).astype(float)
             yield f
 
-    m = taught.select("text", "given").mapInPandas(measure, ", ".join(f"x{i} double" for i in range(N_FEATURES)) + ", y double").toPandas()
-    x, y = m[[f"x{i}" for i in range(N_FEATURES)]].to_numpy(), m["y"].to_numpy()
-    calibration = fit_logistic(x, y) if len(y) else np.zeros(N_FEATURES) - 30.0
+    m = taught.select("ids", "lens", "given").mapInPandas(measure, ", ".join(f"x{i} double" for i in range(N_FEATURES)) + ", subject int, y double").toPandas()
+    x, y, which = m[[f"x{i}" for i in range(N_FEATURES)]].to_numpy(), m["y"].to_numpy(), m["subject"].to_numpy()
+    common = fit_logistic(x, y) if len(y) else np.zeros(N_FEATURES) - 30.0
+    # each subject its own model, held near the common one: a subject with few labelled documents stays with it
+    calibration = np.array([fit_logistic(x[which == i], y[which == i], o.calibration_ridge, near=common) if (which == i).any() else common for i in range(k)]).reshape(k, N_FEATURES)
     return Model(names, w.astype(np.float32), calibration, o)
 
 
-def assign(documents: DataFrame, model: Model) -> DataFrame:
+def assign(features: DataFrame, model: Model) -> DataFrame:
     """doc_id, subject, posterior of every subject a document treats; documents that treat none have no row.
 
-    Null, empty and wordless texts treat none.  Texts are read whole, each once.
+    Null, empty and wordless texts treat none.  The documents come featurised.
     """
-    shared = documents.sparkSession.sparkContext.broadcast(model)
+    shared = features.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m = shared.value
-        reader = Reader(m.options.bits)
         for b in _chunks(batches):
-            q = m.predict(b["text"].tolist(), reader)
+            q = m.predict(b)
             d, s = (q >= m.options.threshold).nonzero()
             if len(d):
                 yield pd.DataFrame({"doc_id": b["doc_id"].to_numpy()[d], "subject": [m.subjects[i] for i in s], "posterior": q[d, s]})
 
-    return documents.select("doc_id", "text").filter("doc_id is not null").mapInPandas(run, "doc_id long, subject string, posterior double")
+    return features.select("doc_id", "ids", "lens").mapInPandas(run, "doc_id long, subject string, posterior double")
 
 
 def composition(assigned: DataFrame, documents: DataFrame) -> DataFrame:

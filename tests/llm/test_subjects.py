@@ -36,23 +36,25 @@ def test_held_out(spark):
     d = spark.createDataFrame([*docs, (10_001, None), (10_002, ""), (10_003, "123 !!"), (None, "court")], "doc_id long, text string")
     lab = spark.createDataFrame([*labels, (77_777, "law", "x"), (None, "law", "x"), (3, "unknown", "x")], "doc_id long, subject string, labeller string")
     sub = spark.createDataFrame([(s,) for s in TERMS], "subject string")
-    m = S.train(d, lab, sub)
+    f = S.featurise(d)
+    m = S.train(f, lab, sub)
     got = {}
-    for r in S.assign(d, m).collect():
+    for r in S.assign(f, m).collect():
         got.setdefault(r.doc_id, set()).add(r.subject)
     held = [i for i in truth if i % 3]
     assert np.mean([got.get(i, set()) == truth[i] for i in held]) > 0.95
     assert not {10_001, 10_002, 10_003} & set(got)
-    shares = {r.subject: r.docs for r in S.composition(S.assign(d, m), d).collect()}
+    shares = {r.subject: r.docs for r in S.composition(S.assign(f, m), d).collect()}
     assert shares["law"] == sum("law" in x for x in got.values())
-    assert S.assign(d.filter("false"), m).count() == 0
+    assert S.assign(f.filter("false"), m).count() == 0
 
 
 def test_no_labels(spark):
     d = spark.createDataFrame([(1, "court")], "doc_id long, text string")
     lab = spark.createDataFrame([], "doc_id long, subject string, labeller string")
-    m = S.train(d, lab, spark.createDataFrame([("law",)], "subject string"))
-    assert S.assign(d, m).count() == 0
+    f = S.featurise(d)
+    m = S.train(f, lab, spark.createDataFrame([("law",)], "subject string"))
+    assert S.assign(f, m).count() == 0
 
 
 def test_sentences():
