@@ -808,7 +808,7 @@ WHERE l.last_run IS NULL OR c.title IS DISTINCT FROM p.title OR c.published_at I
 )
 def p5_commits(spark, d):
     """The gaps of each pending video (lo to hi) and where the interval begins that the run would commit with its output."""
-    p = pending_intervals(spark, d).select("run_no", "video_id", F.explode("gaps").alias("g"), F.element_at("commits", 1)["lo"].alias("from_no"))
+    p = pending_intervals(spark, d).select("run_no", "video_id", F.explode("gaps").alias("g"), F.try_element_at("commits", F.lit(1))["lo"].alias("from_no"))
     return p.select("run_no", "video_id", "g.lo", "g.hi", "from_no")
 
 
